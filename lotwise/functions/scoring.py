@@ -32,9 +32,12 @@ def vin_year_letter(vin: Column) -> Column:
 
 def vin_year(letter: Column) -> Column:
     """The model year a letter stands for, 0 where it stands for none."""
-    place = F.instr(F.lit(S.VIN_YEAR_LETTERS), letter)
-    known = (letter != "") & (place > 0)
-    return F.when(known, place + (S.VIN_FIRST_YEAR - 1)).otherwise(0)
+    years = [
+        F.lit(part)
+        for year, known in enumerate(S.VIN_YEAR_LETTERS, start=S.VIN_FIRST_YEAR)
+        for part in (known, year)
+    ]
+    return F.coalesce(F.try_element_at(F.create_map(*years), letter), F.lit(0))
 
 
 def holds(condition: Column) -> Column:
@@ -42,10 +45,16 @@ def holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def first_match(rules: Sequence[tuple[Column, str]], otherwise: str) -> Column:
-    """The label of the first rule whose condition is true."""
-    arms = [F.when(condition, label) for condition, label in rules]
-    return F.coalesce(*arms, F.lit(otherwise))
+def first_match(rules: Sequence[tuple[Column, Column | str]], otherwise: str) -> Column:
+    """The label of the first rule whose condition is true.
+
+    One CASE, so that a filter on the label is simplified to the conditions.
+    """
+    (condition, label), *rest = rules
+    case = F.when(condition, label)
+    for condition, label in rest:
+        case = case.when(condition, label)
+    return case.otherwise(otherwise)
 
 
 def spread_ratio(spread: Column, center: Column) -> Column:

@@ -17,21 +17,22 @@ def _untrusted():
     return F.col("trust_score") < S.TRUST_FLOOR
 
 
-def _deep_discount():
-    return F.col("price_z_score") < S.DEEP_DISCOUNT_Z
+def _score_below(limit: float):
+    return F.col("price_z_score") < limit
 
 
-def _within(low: float, high: float):
-    return F.col("price_z_score").between(low, high)
+def _score_up_to(limit: float):
+    """Closes the interval that the rule before it left open."""
+    return F.col("price_z_score") <= limit
 
 
 def rate_basic(listings: DataFrame) -> DataFrame:
     """Price only; its labels are spelled with spaces."""
     rules = [
         (_too_few(), "INSUFFICIENT_DATA"),
-        (_deep_discount(), "GREAT DEAL"),
-        (_within(S.DEEP_DISCOUNT_Z, S.DISCOUNT_Z), "GOOD PRICE"),
-        (_within(S.DISCOUNT_Z, S.PREMIUM_Z), "FAIR MARKET"),
+        (_score_below(S.DEEP_DISCOUNT_Z), "GREAT DEAL"),
+        (_score_up_to(S.DISCOUNT_Z), "GOOD PRICE"),
+        (_score_up_to(S.PREMIUM_Z), "FAIR MARKET"),
         (F.col("price_z_score") > S.HIGH_PREMIUM_Z, "OVERPRICED"),
     ]
     return listings.withColumn("deal_rating", first_match(rules, "SLIGHTLY HIGH"))
@@ -42,25 +43,25 @@ def rate_trusted(listings: DataFrame) -> DataFrame:
     rules = [
         (_untrusted(), "RISKY_BUY"),
         (_too_few(), "INSUFFICIENT_DATA"),
-        (_deep_discount(), "GREAT_DEAL"),
-        (_within(S.DEEP_DISCOUNT_Z, S.DISCOUNT_Z), "GOOD_PRICE"),
-        (_within(S.DISCOUNT_Z, S.PREMIUM_Z), "FAIR_MARKET"),
+        (_score_below(S.DEEP_DISCOUNT_Z), "GREAT_DEAL"),
+        (_score_up_to(S.DISCOUNT_Z), "GOOD_PRICE"),
+        (_score_up_to(S.PREMIUM_Z), "FAIR_MARKET"),
     ]
     return listings.withColumn("deal_rating", first_match(rules, "OVERPRICED"))
 
 
 def rate_live(listings: DataFrame) -> DataFrame:
-    """Trust, market volatility, mileage and price."""
-    volatile = spread_ratio(F.col("market_std_dev_price"), F.col("market_avg_price"))
+    """Trust, market volatility, price, and mileage that holds a great deal back."""
+    ratio = spread_ratio(F.col("market_std_dev_price"), F.col("market_avg_price"))
     worn = F.col("odometer_z_score") > S.HIGH_ODOMETER_Z
     rules = [
         (_untrusted(), "RISKY_BUY"),
         (_too_few(), "INSUFFICIENT_DATA"),
-        (volatile > S.VOLATILE_RATIO, "VOLATILE_MARKET"),
-        (_deep_discount() & worn, "GOOD_PRICE"),
-        (_deep_discount(), "GREAT_DEAL"),
-        (_within(S.DEEP_DISCOUNT_Z, S.DISCOUNT_Z), "GOOD_PRICE"),
-        (_within(S.DISCOUNT_Z, S.PREMIUM_Z), "FAIR_MARKET"),
+        (ratio > S.VOLATILE_RATIO, "VOLATILE_MARKET"),
+        (_score_below(S.DEEP_DISCOUNT_Z) & worn, "GOOD_PRICE"),
+        (_score_below(S.DEEP_DISCOUNT_Z), "GREAT_DEAL"),
+        (_score_up_to(S.DISCOUNT_Z), "GOOD_PRICE"),
+        (_score_up_to(S.PREMIUM_Z), "FAIR_MARKET"),
         (F.col("price_z_score") >= S.EXTREME_PREMIUM_Z, "EXTREME_OVERPRICE"),
     ]
     return listings.withColumn("deal_rating", first_match(rules, "OVERPRICED"))

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from lotwise import schema as S
 from lotwise.functions.scoring import spread_ratio
 
-# The labels of the volatility and alert reports.
+# Fixed value: the label of the one fraud flag that makes a buy risky.
 YEAR_MISMATCH_LABEL = "Year Mismatch"
-ALERTS = ["great_deals", "risky_buys", "volatile_segments", "extreme_overprices"]
 
 
 def segment_summary(listings: DataFrame) -> DataFrame:
@@ -32,21 +31,21 @@ def top_segments(summary: DataFrame, n: int = S.SUMMARY_TOP) -> DataFrame:
 
 def great_deals(scored: DataFrame) -> DataFrame:
     """Great deals, and deep discounts that high mileage held back."""
+    return scored.filter(_is_great_deal()).select(
+        "id",
+        *S.SUMMARY_KEYS,
+        "price",
+        F.round("price_z_score", 2).alias("Price_Z_Score"),
+        F.round("odometer_z_score", 2).alias("Odometer_Z_Score"),
+        F.round("arbitrage_opportunity", 2).alias("Arbitrage_Value"),
+        "deal_rating",
+    )
+
+
+def _is_great_deal() -> Column:
     rating = F.col("deal_rating")
     held_back = (rating == "GOOD_PRICE") & (F.col("price_z_score") < S.DEEP_DISCOUNT_Z)
-    return (
-        scored.filter((rating == "GREAT_DEAL") | held_back)
-        .select(
-            "id",
-            *S.SUMMARY_KEYS,
-            "price",
-            F.round("price_z_score", 2).alias("Price_Z_Score"),
-            F.round("odometer_z_score", 2).alias("Odometer_Z_Score"),
-            F.round("arbitrage_opportunity", 2).alias("Arbitrage_Value"),
-            "deal_rating",
-        )
-        .orderBy("Price_Z_Score", "id")
-    )
+    return (rating == "GREAT_DEAL") | held_back
 
 
 def risky_buys(scored: DataFrame) -> DataFrame:
@@ -57,7 +56,7 @@ def risky_buys(scored: DataFrame) -> DataFrame:
 
 
 def volatile_segments(scored: DataFrame) -> DataFrame:
-    """Segments in which a listing was rated volatile, widest spread first."""
+    """Segments in which a listing was rated volatile."""
     percent = spread_ratio(F.col("Std_Dev_Price"), F.col("Avg_Price")) * 100
     return (
         scored.filter(F.col("deal_rating") == "VOLATILE_MARKET")
@@ -68,27 +67,40 @@ def volatile_segments(scored: DataFrame) -> DataFrame:
         )
         .distinct()
         .withColumn("StdDev_as_Pct_of_Avg", F.round(percent, 1))
-        .orderBy(F.desc("Std_Dev_Price"), *S.SEGMENT_KEYS)
     )
 
 
 def extreme_overprices(scored: DataFrame) -> DataFrame:
-    return (
-        scored.filter(F.col("deal_rating") == "EXTREME_OVERPRICE")
-        .select(
-            "id",
-            *S.SUMMARY_KEYS,
-            "price",
-            F.round("price_z_score", 2).alias("Price_Z_Score"),
-            F.col("market_avg_price").alias("Avg_Price"),
-        )
-        .orderBy(F.desc("Price_Z_Score"), "id")
+    return scored.filter(F.col("deal_rating") == "EXTREME_OVERPRICE").select(
+        "id",
+        *S.SUMMARY_KEYS,
+        "price",
+        F.round("price_z_score", 2).alias("Price_Z_Score"),
+        F.col("market_avg_price").alias("Avg_Price"),
     )
 
 
-def alert_lists(scored: DataFrame) -> dict[str, DataFrame]:
-    lists = [great_deals, risky_buys, volatile_segments, extreme_overprices]
-    return {name: report(scored) for name, report in zip(ALERTS, lists, strict=True)}
+ALERTS = {
+    "great_deals": great_deals,
+    "risky_buys": risky_buys,
+    "volatile_segments": volatile_segments,
+    "extreme_overprices": extreme_overprices,
+}
+
+
+def in_alert_order(alerts: DataFrame, name: str) -> DataFrame:
+    """Best deals, widest spreads and highest prices first; risky buys unsorted.
+
+    Scores are rounded and repeat, so ties go by a unique column: the sort stays
+    the same on every run and can cut a crowd of equal scores into ranges. A sort
+    evaluates its input twice, so sort alerts that are stored or cached.
+    """
+    orders = {
+        "great_deals": [F.asc("Price_Z_Score"), F.asc("id")],
+        "volatile_segments": [F.desc("Std_Dev_Price"), *S.SEGMENT_KEYS],
+        "extreme_overprices": [F.desc("Price_Z_Score"), F.asc("id")],
+    }
+    return alerts.orderBy(*orders[name]) if name in orders else alerts
 
 
 def rating_counts(scored: DataFrame) -> DataFrame:
@@ -116,13 +128,12 @@ def batch_metrics(summary: DataFrame, scored: DataFrame) -> DataFrame:
     row; the alert counts come from one pass over the scored rows.
     """
     rating = F.col("deal_rating")
-    deep = (rating == "GOOD_PRICE") & (F.col("price_z_score") < S.DEEP_DISCOUNT_Z)
     received = summary.agg(
         F.coalesce(F.sum("listings_count"), F.lit(0)).alias("received_rows"),
         F.count(F.lit(1)).alias("segments"),
     )
     alerts = scored.agg(
-        F.count_if((rating == "GREAT_DEAL") | deep).alias("great_deals"),
+        F.count_if(_is_great_deal()).alias("great_deals"),
         F.count_if(rating == "RISKY_BUY").alias("risky_buys"),
         F.count_if(rating == "EXTREME_OVERPRICE").alias("extreme_overprices"),
     )

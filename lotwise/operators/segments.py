@@ -70,14 +70,11 @@ def _measure(statistics: DataFrame, keys: list[str]) -> dict[str, int]:
     """Bytes of the statistics in memory, and the listings they stand for."""
     text = [F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) for key in keys]
     width = reduce(Column.__add__, text) + (8 * len(statistics.columns) + ROW_OVERHEAD_BYTES)
-    return (
-        statistics.agg(
-            F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
-            F.coalesce(F.sum("segment_rows"), F.lit(0)).alias("rows"),
-        )
-        .first()
-        .asDict()
+    measured = statistics.agg(
+        F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum("segment_rows"), F.lit(0)).alias("rows"),
     )
+    return measured.collect()[0].asDict()
 
 
 def _sliced_join(

@@ -76,6 +76,11 @@ def _scored_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_live(_cleaned_live(spark, sf_dir))
 
 
+def _alerts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    alerts = reports.ALERTS[name](_scored_live(spark, sf_dir))
+    return reports.in_alert_order(stored(alerts), name)
+
+
 def _stamped(listings: DataFrame) -> DataFrame:
     """The listings as messages that arrived at their event time."""
     return messages.stamp_messages(listings, F.col("event_time"))
@@ -308,22 +313,22 @@ def top_segments(spark, sf_dir):
 
 @query
 def alr_great_deals(spark, sf_dir):
-    return reports.great_deals(_scored_live(spark, sf_dir))
+    return _alerts(spark, sf_dir, "great_deals")
 
 
 @query
 def alr_risky(spark, sf_dir):
-    return reports.risky_buys(_scored_live(spark, sf_dir))
+    return _alerts(spark, sf_dir, "risky_buys")
 
 
 @query
 def alr_volatile(spark, sf_dir):
-    return reports.volatile_segments(_scored_live(spark, sf_dir))
+    return _alerts(spark, sf_dir, "volatile_segments")
 
 
 @query
 def alr_overprice(spark, sf_dir):
-    return reports.extreme_overprices(_scored_live(spark, sf_dir))
+    return _alerts(spark, sf_dir, "extreme_overprices")
 
 
 # Stage previews: the first rows of a stage are the feature.

@@ -56,6 +56,44 @@ def record_columns(listings: DataFrame) -> list:
     ]
 
 
-def first_rows(listings: DataFrame, n: int = S.BOUNDED_READ_ROWS) -> DataFrame:
-    """A bounded read: the first ``n`` listings by id."""
-    return listings.orderBy("id").limit(n)
+# A bounded read looks for a cut-off once the table is this many times larger,
+# and splits the id range into this many parts per look.
+DIRECT_READ_FACTOR = 100
+RANGE_PARTS = 1000
+
+
+def first_rows(
+    listings: DataFrame,
+    n: int = S.BOUNDED_READ_ROWS,
+    *,
+    direct_factor: int = DIRECT_READ_FACTOR,
+) -> DataFrame:
+    """A bounded read: the first ``n`` listings by id.
+
+    Each task of a plain sort-and-limit hands ``n`` rows to one last task, too
+    many where there are many tasks. Large tables are therefore first cut at an
+    id that at least ``n`` rows do not exceed, a filter that scans can use.
+    """
+    cut = _cut_off(listings.select("id"), n, direct_factor)
+    kept = listings if cut is None else listings.filter(F.col("id") <= cut)
+    return kept.orderBy(F.asc_nulls_last("id")).limit(n)
+
+
+def _cut_off(ids: DataFrame, n: int, direct_factor: int) -> int | None:
+    """Narrow the range that holds the n-th id, by counting rows per part of it."""
+    column = F.col("id")
+    low, high, inside = ids.agg(F.min(column), F.max(column), F.count(column)).first()
+    if inside <= n * direct_factor:
+        return None
+    below = 0
+    while below + inside > n * direct_factor and low < high:
+        width = (high - low) // RANGE_PARTS + 1
+        part = F.expr(f"(id - {low}L) div {width}L")
+        counted = ids.filter(column.between(low, high)).groupBy(part.alias("part")).count()
+        for row in counted.orderBy("part").collect():
+            inside = row["count"]
+            if below + inside >= n:
+                low, high = low + row["part"] * width, min(high, low + (row["part"] + 1) * width - 1)
+                break
+            below += inside
+    return high

@@ -7,6 +7,7 @@ so a check query can start from the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLES = ["orders", "customer", "nation", "region"]
 
@@ -41,6 +42,16 @@ from {orders} join {customer} on o_custkey = c_custkey
 """
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table whose schema is looked up once per process."""
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
 def standin_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
+    tables = {name: read_table(spark, f"{sf_dir}/{name}.parquet") for name in TABLES}
     return spark.sql(LISTINGS_SQL, **tables)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -66,8 +67,8 @@ def score_micro_batch(
         try:
             summary = reports.segment_summary(received)
             sink(summary, "segment_summary", batch_id)
-            for name, alerts in reports.alert_lists(scored).items():
-                sink(alerts, name, batch_id)
+            for name, alerts in reports.ALERTS.items():
+                sink(reports.in_alert_order(alerts(scored), name), name, batch_id)
             sink(reports.batch_metrics(summary, scored), "batch_metrics", batch_id)
         finally:
             scored.unpersist()
@@ -132,3 +133,18 @@ def _start(
         .trigger(**(trigger or EVERY_TEN_SECONDS))
         .start()
     )
+
+
+def await_idle(query: StreamingQuery, idle_seconds: float = 60, poll_seconds: float = 1) -> None:
+    """Wait until a query ends, or stop it once it had nothing to read for a while."""
+    last_work = time.monotonic()
+    last_batch = None
+    while not query.awaitTermination(poll_seconds):
+        progress = query.lastProgress
+        worked = progress is not None and progress.numInputRows > 0
+        if query.status["isDataAvailable"] or (worked and progress.batchId != last_batch):
+            last_work = time.monotonic()
+            last_batch = progress.batchId if progress is not None else None
+        if time.monotonic() - last_work >= idle_seconds:
+            query.stop()
+            return
