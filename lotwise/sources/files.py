@@ -82,11 +82,12 @@ def first_rows(
 def _cut_off(ids: DataFrame, n: int, direct_factor: int) -> int | None:
     """Narrow the range that holds the n-th id, by counting rows per part of it."""
     column = F.col("id")
+    few = n * max(1, direct_factor)
     low, high, inside = ids.agg(F.min(column), F.max(column), F.count(column)).first()
-    if inside <= n * direct_factor:
+    if inside <= few:
         return None
     below = 0
-    while below + inside > n * direct_factor and low < high:
+    while below + inside > few and low < high:
         width = (high - low) // RANGE_PARTS + 1
         part = F.expr(f"(id - {low}L) div {width}L")
         counted = ids.filter(column.between(low, high)).groupBy(part.alias("part")).count()
