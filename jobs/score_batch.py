@@ -24,6 +24,7 @@ def main() -> None:
     parser.add_argument("--output", help="path of the table, for path-based formats")
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    parser.add_argument("--work", help="folder for intermediate tables, one per concurrent run")
     parser.add_argument("--current-year", type=int, default=CURRENT_YEAR)
     args = parser.parse_args()
 
@@ -36,7 +37,10 @@ def main() -> None:
             spark, args.input, line_breaks_in_fields=not args.one_line_records
         )
     scored = score_batch(
-        clean_batch(listings), current_year=args.current_year, scan_twice=columnar
+        clean_batch(listings),
+        current_year=args.current_year,
+        scan_twice=columnar,
+        work_path=args.work,
     )
     options = dict(pair.split("=", 1) for pair in args.option)
     overwrite_table(published(scored), args.output, args.format, **options)

@@ -43,9 +43,10 @@ def great_deals(scored: DataFrame) -> DataFrame:
 
 
 def _is_great_deal() -> Column:
+    """Both ratings need a deep discount here, so that cheap test comes first."""
     rating = F.col("deal_rating")
-    held_back = (rating == "GOOD_PRICE") & (F.col("price_z_score") < S.DEEP_DISCOUNT_Z)
-    return (rating == "GREAT_DEAL") | held_back
+    rated = (rating == "GREAT_DEAL") | (rating == "GOOD_PRICE")
+    return (F.col("price_z_score") < S.DEEP_DISCOUNT_Z) & rated
 
 
 def risky_buys(scored: DataFrame) -> DataFrame:

@@ -43,22 +43,32 @@ def score_batch(
     *,
     current_year: int = S.CURRENT_YEAR,
     scan_twice: bool = False,
+    work_path: str | None = None,
     **join_options,
 ) -> DataFrame:
     """Segment statistics, fraud, trust, arbitrage and rating of cleaned listings.
 
     Listings are passed over twice: for the statistics and for the scores. They
     are therefore stored first, unless ``scan_twice`` says that reading their
-    source again is the cheaper way, as it is for columnar tables.
+    source again is the cheaper way, as it is for columnar tables. Intermediate
+    tables go below ``work_path``, where the next run replaces them, or into new
+    folders.
     """
-    needed = cleaned.select(*BATCH_COLUMNS)
-    source = needed if scan_twice else stored(needed)
-    placed = segments.with_segment_statistics(source, **join_options)
+    source = cleaned.select(*BATCH_COLUMNS)
+    if not scan_twice:
+        source = stored(source, _below(work_path, "listings"))
+    placed = segments.with_segment_statistics(
+        source, table_path=_below(work_path, "statistics"), **join_options
+    )
     scored = segments.with_price_score(placed, lone_row_scores=False)
     trusted = with_trust(scored, current_year)
     return rating.rate_trusted(arbitrage.with_arbitrage(trusted))
 
 
+def _below(work_path: str | None, table: str) -> str | None:
+    return f"{work_path}/{table}" if work_path else None
+
+
 def score_live(
     cleaned: DataFrame, *, current_year: int = S.CURRENT_YEAR, **join_options
 ) -> DataFrame:
