@@ -12,7 +12,7 @@ import argparse
 from lotwise.schema import CURRENT_YEAR
 from lotwise.session import build_session
 from lotwise.sources.messages import TOPIC, read_bus
-from lotwise.streaming.jobs import start_scoring
+from lotwise.streaming.jobs import await_idle, start_scoring
 
 
 def main() -> None:
@@ -24,6 +24,7 @@ def main() -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoint", help="default: inside the output folder")
     parser.add_argument("--every", default="10 seconds")
+    parser.add_argument("--idle-seconds", type=float, help="stop once idle; default: never stop")
     parser.add_argument("--current-year", type=int, default=CURRENT_YEAR)
     args = parser.parse_args()
 
@@ -34,13 +35,17 @@ def main() -> None:
         starting_offsets=args.starting_offsets,
         max_offsets_per_trigger=args.max_offsets_per_trigger,
     )
-    start_scoring(
+    query = start_scoring(
         messages,
         args.output,
         checkpoint=args.checkpoint,
         trigger={"processingTime": args.every},
         current_year=args.current_year,
-    ).awaitTermination()
+    )
+    if args.idle_seconds is None:
+        query.awaitTermination()
+    else:
+        await_idle(query, args.idle_seconds)
 
 
 if __name__ == "__main__":

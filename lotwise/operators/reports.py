@@ -94,14 +94,16 @@ def in_alert_order(alerts: DataFrame, name: str) -> DataFrame:
 
     Scores are rounded and repeat, so ties go by a unique column: the sort stays
     the same on every run and can cut a crowd of equal scores into ranges. A sort
-    evaluates its input twice, so sort alerts that are stored or cached.
+    without a shuffle before it evaluates its input twice, so sort alerts that
+    are stored or cached. Unsorted alerts are rebalanced, as the few alerts of
+    each scoring task would make as many small files.
     """
     orders = {
         "great_deals": [F.asc("Price_Z_Score"), F.asc("id")],
         "volatile_segments": [F.desc("Std_Dev_Price"), *S.SEGMENT_KEYS],
         "extreme_overprices": [F.desc("Price_Z_Score"), F.asc("id")],
     }
-    return alerts.orderBy(*orders[name]) if name in orders else alerts
+    return alerts.orderBy(*orders[name]) if name in orders else alerts.hint("rebalance")
 
 
 def rating_counts(scored: DataFrame) -> DataFrame:

@@ -299,6 +299,8 @@ order by id limit 5""",
 from listings""",
     ),
     "str_restart": _with(
-        [LISTINGS], f"{_ROWS_ONLY}, cast(id % 2 as int) as batch_id from listings"
+        [LISTINGS],
+        f"""{_ROWS_ONLY}, case when event_time < timestamp '1998-01-01 00:00:00' then 0 else 1 end
+  as batch_id from listings""",
     ),
 }

@@ -38,6 +38,7 @@ LISTING = [
 ]
 AVAILABLE_NOW = {"availableNow": True}
 ARRIVAL = datetime(2001, 8, 2)
+RESTARTED = datetime(1998, 1, 1)
 
 
 def query(build: Query) -> Query:
@@ -76,11 +77,6 @@ def _scored_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_live(_cleaned_live(spark, sf_dir))
 
 
-def _alerts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    alerts = reports.ALERTS[name](_scored_live(spark, sf_dir))
-    return reports.in_alert_order(stored(alerts), name)
-
-
 def _stamped(listings: DataFrame) -> DataFrame:
     """The listings as messages that arrived at their event time."""
     return messages.stamp_messages(listings, F.col("event_time"))
@@ -313,22 +309,25 @@ def top_segments(spark, sf_dir):
 
 @query
 def alr_great_deals(spark, sf_dir):
-    return _alerts(spark, sf_dir, "great_deals")
+    deals = stored(reports.great_deals(_scored_live(spark, sf_dir)))
+    return reports.in_alert_order(deals, "great_deals")
 
 
 @query
 def alr_risky(spark, sf_dir):
-    return _alerts(spark, sf_dir, "risky_buys")
+    return reports.risky_buys(_scored_live(spark, sf_dir))
 
 
 @query
 def alr_volatile(spark, sf_dir):
-    return _alerts(spark, sf_dir, "volatile_segments")
+    volatile = reports.volatile_segments(_scored_live(spark, sf_dir))
+    return reports.in_alert_order(volatile, "volatile_segments")
 
 
 @query
 def alr_overprice(spark, sf_dir):
-    return _alerts(spark, sf_dir, "extreme_overprices")
+    overprices = stored(reports.extreme_overprices(_scored_live(spark, sf_dir)))
+    return reports.in_alert_order(overprices, "extreme_overprices")
 
 
 # Stage previews: the first rows of a stage are the feature.
@@ -445,11 +444,11 @@ def str_latency(spark, sf_dir):
 
 @query
 def str_restart(spark, sf_dir):
-    """Load one half, stop, and start again once the other half has arrived."""
+    """Load the earlier listings, stop, and start again once the later ones are there."""
     listings = standin_listings(spark, sf_dir)
+    early = F.col("event_time") < F.lit(RESTARTED)
     folder, output = new_folder(spark, "messages"), new_folder(spark, "loaded")
-    for half in (0, 1):
-        arriving = listings.filter(F.pmod("id", F.lit(2)) == half)
+    for arriving in (listings.filter(early), listings.filter(~early)):
         messages.write_message_files(_stamped(arriving), folder)
         _load(spark, folder, output)
     return read_table(spark, output, "listings").select(*LISTING, "VIN", "batch_id")

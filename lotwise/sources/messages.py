@@ -10,6 +10,7 @@ from lotwise import schema as S
 from lotwise.functions.parsing import integer_from_double, known_number, known_text
 from lotwise.sources.files import loose_schema
 
+# Fixed value: the topic listings travel on.
 TOPIC = "car_data"
 
 
@@ -96,9 +97,8 @@ def read_bus(
 
 
 def write_bus(messages: DataFrame, servers: str, topic: str = TOPIC, format: str = "kafka") -> None:
-    messages.select("key", "value").write.format(format).option(
-        "kafka.bootstrap.servers", servers
-    ).option("topic", topic).save()
+    bus = messages.select("key", "value").write.format(format).mode("append")
+    bus.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 
 
 def read_message_files(

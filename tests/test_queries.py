@@ -8,6 +8,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from conftest import physical_plan
 
 import __spark_entry__ as entry_points
 
@@ -39,17 +40,13 @@ def test_query_matches_sql(spark, database, name):
     found = Counter(tuple(row) for row in frame.select(*columns).collect())
     assert found == expected
 
+    # No cross join, no window (a window cannot split a hot segment), no Python.
+    plan = physical_plan(frame)
+    for word in ["CartesianProduct", "BroadcastNestedLoopJoin", "Window", "Python", "Pandas"]:
+        assert word not in plan
+
 
 def test_entry(spark):
     frame = entry_points.entry(spark)
     assert frame.columns[0] == "id" and frame.columns[-1] == "deal_rating"
     assert frame.count() > 0
-
-
-@pytest.mark.parametrize("name", QUERIES)
-def test_plan_stays_distributed(spark, name):
-    """No cross join, no window (a window cannot split a hot segment) and no
-    Python in any plan."""
-    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
-    for word in ["CartesianProduct", "BroadcastNestedLoopJoin", "Window", "Python", "Pandas"]:
-        assert word not in plan, (name, word)

@@ -77,12 +77,12 @@ def test_csv_round_trip(spark, tmp_path):
     assert rows(back) == rows(listings)
 
 
-@pytest.mark.parametrize("factor", [0, 1, 2, 100])
+@pytest.mark.parametrize("factor", [0, 1, 100])
 def test_first_rows(spark, factor):
     # Ids in clumps far apart, with gaps and a crowd of equal ids.
     ids = [*range(0, 300, 3), *range(10**12, 10**12 + 50), *[10**12 + 60] * 20, 2**60]
     frame = spark.createDataFrame([(i,) for i in reversed(ids)], "id long").repartition(4)
-    for n in (1, 99, 100, 101, 130, 150, 160, 171, 500):
+    for n in (1, 100, 101, 160, 500):
         found = [i for (i,) in rows(files.first_rows(frame, n, direct_factor=factor))]
         assert found == ids[:n]
 
