@@ -13,6 +13,7 @@ from lotwise.schema import CURRENT_YEAR
 from lotwise.session import build_session
 from lotwise.sources.messages import TOPIC, read_bus
 from lotwise.streaming.jobs import await_idle, start_scoring
+from lotwise.streaming.sinks import console_sink
 
 
 def main() -> None:
@@ -23,6 +24,7 @@ def main() -> None:
     parser.add_argument("--max-offsets-per-trigger", type=int)
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoint", help="default: inside the output folder")
+    parser.add_argument("--console", action="store_true", help="print tables, do not write them")
     parser.add_argument("--every", default="10 seconds")
     parser.add_argument("--idle-seconds", type=float, help="stop once idle; default: never stop")
     parser.add_argument("--current-year", type=int, default=CURRENT_YEAR)
@@ -38,6 +40,7 @@ def main() -> None:
     query = start_scoring(
         messages,
         args.output,
+        sink=console_sink() if args.console else None,
         checkpoint=args.checkpoint,
         trigger={"processingTime": args.every},
         current_year=args.current_year,

@@ -18,11 +18,10 @@ def deviation_score(
     A zero spread counts as one unit. A segment of one row has no spread: its
     score is null, or measured in units of one where ``lone_row_scores``.
     """
-    unit = F.nullif(spread, F.lit(0.0))
     if lone_row_scores:
-        unit = F.coalesce(unit, F.lit(1.0))
+        unit = F.coalesce(F.nullif(spread, F.lit(0.0)), F.lit(1.0))
     else:
-        unit = F.when(spread.isNotNull(), F.coalesce(unit, F.lit(1.0)))
+        unit = F.when(spread == 0, 1.0).otherwise(spread)
     return (value - center) / unit
 
 

@@ -24,9 +24,13 @@ def segment_summary(listings: DataFrame) -> DataFrame:
     )
 
 
+def in_summary_order(summary: DataFrame) -> DataFrame:
+    """Segments with most listings first; ties go by name."""
+    return summary.orderBy(F.desc("listings_count"), *S.SUMMARY_KEYS)
+
+
 def top_segments(summary: DataFrame, n: int = S.SUMMARY_TOP) -> DataFrame:
-    """The segments with most listings; ties go by name."""
-    return summary.orderBy(F.desc("listings_count"), *S.SUMMARY_KEYS).limit(n)
+    return in_summary_order(summary).limit(n)
 
 
 def great_deals(scored: DataFrame) -> DataFrame:

@@ -136,8 +136,8 @@ SUMMARY = """select manufacturer, model, round(avg(price), 2) as avg_price,
   max(event_time) as last_data_received
 from standard group by manufacturer, model"""
 
-FINAL_ROWS = """select id, manufacturer, model, price, trust_score, arbitrage_opportunity, deal_rating
-from batch_final"""
+FINAL_ROWS = """select id, manufacturer, model, price, trust_score, arbitrage_opportunity,
+  deal_rating from batch_final"""
 
 PUBLISHED = """select id, manufacturer, model, year, price, odometer, region, lat, long, vin,
   trust_score, is_year_mismatch, national_avg_price, arbitrage_opportunity, is_sourcing_hub,

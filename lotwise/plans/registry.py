@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +36,8 @@ LISTING = [
     "long",
 ]
 AVAILABLE_NOW = {"availableNow": True}
-ARRIVAL = datetime(2001, 8, 2)
-RESTARTED = datetime(1998, 1, 1)
+ARRIVAL = "2001-08-02 00:00:00"
+RESTARTED = "1998-01-01 00:00:00"
 
 
 def query(build: Query) -> Query:
@@ -396,9 +395,9 @@ def _run_scoring(spark: SparkSession, sf_dir: str) -> str:
 
 def _load(spark: SparkSession, folder: str, output: str, **reading) -> None:
     stream = messages.read_message_files(spark, folder, **reading)
-    jobs.start_loading(
-        stream, output, trigger=AVAILABLE_NOW, clock=lambda: ARRIVAL
-    ).awaitTermination()
+    arrival = F.lit(ARRIVAL).cast("timestamp")
+    query = jobs.start_loading(stream, output, trigger=AVAILABLE_NOW, clock=lambda: arrival)
+    query.awaitTermination()
 
 
 @query
@@ -446,7 +445,7 @@ def str_latency(spark, sf_dir):
 def str_restart(spark, sf_dir):
     """Load the earlier listings, stop, and start again once the later ones are there."""
     listings = standin_listings(spark, sf_dir)
-    early = F.col("event_time") < F.lit(RESTARTED)
+    early = F.col("event_time") < F.lit(RESTARTED).cast("timestamp_ntz")
     folder, output = new_folder(spark, "messages"), new_folder(spark, "loaded")
     for arriving in (listings.filter(early), listings.filter(~early)):
         messages.write_message_files(_stamped(arriving), folder)

@@ -94,7 +94,8 @@ def _cut_off(ids: DataFrame, n: int, direct_factor: int) -> int | None:
         for row in counted.orderBy("part").collect():
             inside = row["count"]
             if below + inside >= n:
-                low, high = low + row["part"] * width, min(high, low + (row["part"] + 1) * width - 1)
+                low += row["part"] * width
+                high = min(high, low + width - 1)
                 break
             below += inside
     return high

@@ -6,19 +6,34 @@ import time
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lotwise import schema as S
 from lotwise.operators import prepare, reports
-from lotwise.plans.scoring import LIVE_COLUMNS, clean_live, score_live
+from lotwise.plans.scoring import clean_live, score_live
 from lotwise.sources.messages import decode_messages
 from lotwise.streaming.sinks import Sink, file_sink
 
 # Fixed value: how often the scoring stream wakes up.
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
 
+# Says when a batch arrived.
+Clock = Callable[[], datetime | Column]
+
+# Columns of the listing record that scoring uses.
+SCORED_COLUMNS = [
+    "id",
+    "price",
+    "year",
+    "manufacturer",
+    "model",
+    "odometer",
+    "title_status",
+    "VIN",
+]
+
 
 def start_scoring(
     messages: DataFrame,
@@ -43,7 +58,8 @@ def start_scoring(
             batch, batch_id, sink, statistics_path=statistics_path, current_year=current_year
         )
 
-    return _start(decode_messages(messages), handle, output, checkpoint, trigger)
+    listings = decode_messages(messages, SCORED_COLUMNS)
+    return _start(listings, handle, output, checkpoint, trigger)
 
 
 def score_micro_batch(
@@ -56,7 +72,7 @@ def score_micro_batch(
 ) -> None:
     """The source is read once: the batch is kept while its passes run. What an
     executor loses of it is read again from the source."""
-    received = prepare.standardize(batch.select(*_SCORED_RECORD, "event_time")).persist()
+    received = prepare.standardize(batch.select(*SCORED_COLUMNS, "event_time")).persist()
     try:
         if received.isEmpty():
             return
@@ -66,7 +82,7 @@ def score_micro_batch(
         ).persist()
         try:
             summary = reports.segment_summary(received)
-            sink(summary, "segment_summary", batch_id)
+            sink(reports.in_summary_order(summary), "segment_summary", batch_id)
             for name, alerts in reports.ALERTS.items():
                 sink(reports.in_alert_order(alerts(scored), name), name, batch_id)
             sink(reports.batch_metrics(summary, scored), "batch_metrics", batch_id)
@@ -76,9 +92,6 @@ def score_micro_batch(
         received.unpersist()
 
 
-_SCORED_RECORD = [*LIVE_COLUMNS, "title_status"]
-
-
 def start_loading(
     messages: DataFrame,
     output: str,
@@ -86,7 +99,7 @@ def start_loading(
     sink: Sink | None = None,
     checkpoint: str | None = None,
     trigger: dict | None = None,
-    clock: Callable[[], datetime] | None = None,
+    clock: Clock | None = None,
 ) -> StreamingQuery:
     """Append every listing to a table, and record how late each batch arrived."""
     sink = sink or file_sink(output)
@@ -98,9 +111,7 @@ def start_loading(
     return _start(decode_messages(messages), handle, output, checkpoint, trigger)
 
 
-def load_micro_batch(
-    batch: DataFrame, batch_id: int, sink: Sink, clock: Callable[[], datetime]
-) -> None:
+def load_micro_batch(batch: DataFrame, batch_id: int, sink: Sink, clock: Clock) -> None:
     """One pass: the count and the newest timestamp are observed while writing."""
     if batch.isEmpty():
         return
@@ -112,9 +123,9 @@ def load_micro_batch(
         F.max("event_time").alias("newest_message"),
     )
     sink(prepare.nan_to_null(observed).drop("event_time"), "listings", batch_id)
-    newest = batch.sparkSession.createDataFrame(
-        [(seen.get["loaded_rows"], seen.get["newest_message"])],
-        "loaded_rows long, newest_message timestamp",
+    newest = batch.sparkSession.range(1).select(
+        F.lit(seen.get["loaded_rows"]).cast("long").alias("loaded_rows"),
+        F.lit(seen.get["newest_message"]).cast("timestamp").alias("newest_message"),
     )
     sink(reports.with_latency(newest, arrival), "load_latency", batch_id)
 

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotwise import schema as S
 from lotwise.operators.tables import append_table
 
 Sink = Callable[[DataFrame, str, int], None]
@@ -38,6 +39,16 @@ def append_sink(format: str, table_option: str, prefix: str = "", **options: str
     return write
 
 
+def console_sink(rows: int = S.SUMMARY_TOP) -> Sink:
+    """Print the first rows of each table: a look at the stream, not a result."""
+
+    def write(frame: DataFrame, table: str, batch_id: int) -> None:
+        print(f"{table}, batch {batch_id}")
+        frame.show(rows, truncate=False)
+
+    return write
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """All batches of a table of a parquet file sink, with their ``batch_id``."""
     return spark.read.parquet(f"{root}/{table}")

@@ -145,6 +145,16 @@ def test_unreadable_messages_become_empty_listings(spark):
     assert rows(decoded) == [(None,) * len(NAMES)] * 4
 
 
+def test_decode_only_named_columns(spark):
+    sent = '{"url":"u","id":5,"description":{"odd":[1]},"price":"x","VIN":NaN,"model":"m"}'
+    frame = spark.createDataFrame(
+        [(bytearray(sent.encode()), SENT)], "value binary, timestamp timestamp"
+    )
+    decoded = messages.decode_messages(frame, ["VIN", "id", "model"])
+    assert rows(decoded) == [(5, "m", None, SENT)]
+    assert decoded.columns == ["id", "model", "VIN", "event_time"]
+
+
 def test_encode_and_decode(spark):
     record = dict.fromkeys(NAMES)
     record |= {"id": 7222695916, "price": 700, "year": "2011.0", "VIN": "1A", "odometer": 1e7}

@@ -11,7 +11,7 @@ from lotwise.plans.scoring import clean_live, score_live
 from lotwise.sources import messages
 from lotwise.sources.standin import standin_listings
 from lotwise.streaming import jobs
-from lotwise.streaming.sinks import append_sink, file_sink, read_table
+from lotwise.streaming.sinks import append_sink, console_sink, file_sink, read_table
 
 NOW = {"availableNow": True}
 MOMENT = datetime(2024, 5, 1, tzinfo=timezone.utc)
@@ -53,7 +53,7 @@ def test_each_micro_batch_is_scored_by_itself(spark, listings, tmp_path):
             found = read_table(spark, output, name).filter(F.col("batch_id") == batch_id)
             assert same_rows(found.drop("batch_id"), alerts(scored)), (batch_id, name)
         summary = reports.segment_summary(
-            prepare.standardize(part).withColumn("event_time", F.col("event_time").cast("timestamp"))
+            prepare.standardize(part.withColumn("event_time", F.col("event_time").cast("timestamp")))
         )
         found = read_table(spark, output, "segment_summary").filter(F.col("batch_id") == batch_id)
         assert same_rows(found.drop("batch_id"), summary)
@@ -143,6 +143,19 @@ def test_loading_turns_nan_into_null(spark, listings, tmp_path):
     assert rows(found, "id", "lat", "odometer", "VIN", "price") == [(1, None, None, None, None)]
 
 
+def test_console_sink_prints_each_table(spark, listings, capsys):
+    batch = listings.withColumnRenamed("vin", "VIN")
+    jobs.score_micro_batch(batch, 3, console_sink(rows=5))
+    shown = capsys.readouterr().out
+    for table in ["segment_summary", *reports.ALERTS, "batch_metrics"]:
+        assert f"{table}, batch 3" in shown
+    # The first summary row is the largest segment.
+    summary = reports.segment_summary(prepare.standardize(listings))
+    largest = reports.top_segments(summary, 1).first()
+    first_row = [line for line in shown.splitlines() if line.startswith("|")][1]
+    assert str(largest.listings_count) in first_row and largest.model in first_row
+
+
 def test_append_sink_numbers_its_batches(spark, tmp_path):
     sink = append_sink("parquet", "path", f"{tmp_path}/")
     sink(spark.range(3), "listings", 0)
