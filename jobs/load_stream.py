@@ -20,7 +20,8 @@ def main() -> None:
     parser.add_argument("--servers", required=True)
     parser.add_argument("--topic", default=TOPIC)
     parser.add_argument("--starting-offsets", default="latest")
-    parser.add_argument("--max-offsets-per-trigger", type=int)
+    parser.add_argument("--max-offsets-per-trigger", type=int, help="bound of a micro-batch")
+    parser.add_argument("--min-partitions", type=int, help="cut large topic partitions")
     parser.add_argument("--output", required=True, help="folder of the tables and the checkpoint")
     parser.add_argument("--checkpoint", help="default: inside the output folder")
     parser.add_argument("--format", default="parquet", help="other formats append to a warehouse")
@@ -36,6 +37,7 @@ def main() -> None:
         args.topic,
         starting_offsets=args.starting_offsets,
         max_offsets_per_trigger=args.max_offsets_per_trigger,
+        min_partitions=args.min_partitions,
     )
     sink = None
     if args.format != "parquet":

@@ -82,10 +82,12 @@ def read_bus(
     *,
     starting_offsets: str = "latest",
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     format: str = "kafka",
     **options: str,
 ) -> DataFrame:
-    """A stream of messages; ``max_offsets_per_trigger`` bounds a micro-batch."""
+    """A stream of messages. ``max_offsets_per_trigger`` bounds a micro-batch;
+    ``min_partitions`` cuts topic partitions that hold more than their share."""
     reader = (
         spark.readStream.format(format)
         .option("kafka.bootstrap.servers", servers)
@@ -95,6 +97,8 @@ def read_bus(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
     return reader.load()
 
 

@@ -106,7 +106,9 @@ def test_publish_and_load(spark, run_job, tmp_path):
 
 
 def test_bus_options(spark, tmp_path):
-    stream = messages.read_bus(spark, "broker:9092", max_offsets_per_trigger=5, format="rate")
+    stream = messages.read_bus(
+        spark, "broker:9092", max_offsets_per_trigger=5, min_partitions=2, format="rate"
+    )
     assert stream.isStreaming
     frame = spark.createDataFrame([(None, bytearray(b"{}"), 1)], "key binary, value binary, x int")
     messages.write_bus(frame, "broker:9092", format="noop")

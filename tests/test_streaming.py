@@ -52,9 +52,8 @@ def test_each_micro_batch_is_scored_by_itself(spark, listings, tmp_path):
         for name, alerts in reports.ALERTS.items():
             found = read_table(spark, output, name).filter(F.col("batch_id") == batch_id)
             assert same_rows(found.drop("batch_id"), alerts(scored)), (batch_id, name)
-        summary = reports.segment_summary(
-            prepare.standardize(part.withColumn("event_time", F.col("event_time").cast("timestamp")))
-        )
+        stamped = part.withColumn("event_time", F.col("event_time").cast("timestamp"))
+        summary = reports.segment_summary(prepare.standardize(stamped))
         found = read_table(spark, output, "segment_summary").filter(F.col("batch_id") == batch_id)
         assert same_rows(found.drop("batch_id"), summary)
         counts = read_table(spark, output, "batch_metrics").filter(F.col("batch_id") == batch_id)
