@@ -22,6 +22,7 @@ from lotwise.functions.scoring import deviation_score
 from lotwise.operators.tables import stored
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+HASHED_SHARE_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 96
 
 
@@ -62,7 +63,7 @@ def with_segment_statistics(
     if size["bytes"] <= broadcast_limit:
         joined = listings.join(F.broadcast(named), _same_segment(keys), "left")
     else:
-        joined = _sliced_join(listings, named, keys, size["rows"])
+        joined = _sliced_join(listings, named, keys, size)
     return joined.drop("segment_rows", *[_own(key) for key in keys])
 
 
@@ -78,16 +79,19 @@ def _measure(statistics: DataFrame, keys: list[str]) -> dict[str, int]:
 
 
 def _sliced_join(
-    listings: DataFrame, statistics: DataFrame, keys: list[str], total_rows: int
+    listings: DataFrame, statistics: DataFrame, keys: list[str], size: dict[str, int]
 ) -> DataFrame:
     """Shuffled join in which no segment outgrows one task's fair share.
 
     A large segment is one above the fair share of a shuffle partition. There
     are fewer of them than shuffle partitions, whatever the data, so their list
     (one hash and one number each) is always fit to broadcast.
+
+    The statistics spread evenly, one row per segment and slice. Where a task's
+    share of them is small it is hashed, which saves sorting the listings.
     """
     partitions = int(listings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fair_share = max(1, total_rows // partitions)
+    fair_share = max(1, size["rows"] // partitions)
     large = (
         statistics.filter(F.col("segment_rows") > fair_share)
         .groupBy(F.xxhash64(*[_own(key) for key in keys]).alias("_large_segment"))
@@ -111,6 +115,8 @@ def _sliced_join(
         .withColumn("_own_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
         .drop("_large_segment", "_slices")
     )
+    if size["bytes"] <= HASHED_SHARE_BYTES * partitions:
+        right = right.hint("shuffle_hash")
     same = _same_segment(keys) & (F.col("_slice") == F.col("_own_slice"))
     return left.join(right, same, "left").drop("_slice", "_own_slice")
 

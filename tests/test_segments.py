@@ -88,10 +88,17 @@ def test_small_statistics_are_broadcast_and_listings_not_shuffled(skewed):
     assert "hashpartitioning" not in plan
 
 
-def test_large_statistics_are_shuffled_and_hot_segments_cut(skewed, settings):
+@pytest.mark.parametrize(
+    ("hashed_share", "join"), [(2**26, "ShuffledHashJoin"), (0, "SortMergeJoin")]
+)
+def test_large_statistics_are_shuffled_and_hot_segments_cut(
+    skewed, settings, monkeypatch, hashed_share, join
+):
     settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
+    monkeypatch.setattr(segments, "HASHED_SHARE_BYTES", hashed_share)
     placed = segments.with_segment_statistics(skewed, broadcast_limit=-1)
-    assert "SortMergeJoin" in physical_plan(placed)
+    assert join in physical_plan(placed)
+    assert placed.count() == 9000
     tasks = (
         placed.filter("manufacturer = 'HOT'").groupBy(F.spark_partition_id().alias("task")).count()
     )
