@@ -1,5 +1,8 @@
 """Load listing messages into a table until they stop arriving.
 
+Files hold every message once. A warehouse format appends at least once: a batch
+that runs again is appended again, under the same run and batch_id.
+
     spark-submit --packages org.apache.spark:spark-sql-kafka-0-10_2.13:4.1.2 \
         --py-files lotwise.zip jobs/load_stream.py \
         --servers broker:9092 --output s3a://tables/listings/
@@ -12,7 +15,7 @@ import argparse
 from lotwise.session import build_session
 from lotwise.sources.messages import TOPIC, read_bus
 from lotwise.streaming.jobs import EVERY_TEN_SECONDS, await_idle, start_loading
-from lotwise.streaming.sinks import append_sink
+from lotwise.streaming.sinks import append_sink, file_sink
 
 
 def main() -> None:
@@ -20,7 +23,7 @@ def main() -> None:
     parser.add_argument("--servers", required=True)
     parser.add_argument("--topic", default=TOPIC)
     parser.add_argument("--starting-offsets", default="latest")
-    parser.add_argument("--max-offsets-per-trigger", type=int, help="bound of a micro-batch")
+    parser.add_argument("--max-offsets-per-trigger", type=int, default=1_000_000)
     parser.add_argument("--min-partitions", type=int, help="cut large topic partitions")
     parser.add_argument("--output", required=True, help="folder of the tables and the checkpoint")
     parser.add_argument("--checkpoint", help="default: inside the output folder")
@@ -39,9 +42,9 @@ def main() -> None:
         max_offsets_per_trigger=args.max_offsets_per_trigger,
         min_partitions=args.min_partitions,
     )
-    sink = None
+    options = dict(pair.split("=", 1) for pair in args.option)
+    sink = file_sink(args.output, **options)
     if args.format != "parquet":
-        options = dict(pair.split("=", 1) for pair in args.option)
         sink = append_sink(args.format, args.table_option, args.table_prefix, **options)
     query = start_loading(
         messages, args.output, sink=sink, checkpoint=args.checkpoint, trigger=EVERY_TEN_SECONDS

@@ -8,12 +8,13 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from lotwise.operators.tables import overwrite_table
 from lotwise.plans.scoring import clean_batch, published, score_batch
 from lotwise.schema import CURRENT_YEAR
-from lotwise.session import build_session
-from lotwise.sources.files import read_listings_csv
+from lotwise.session import build_session, new_folder, remove_folder
+from lotwise.sources.files import read_listings_csv, read_listings_table
 
 
 def main() -> None:
@@ -24,26 +25,30 @@ def main() -> None:
     parser.add_argument("--output", help="path of the table, for path-based formats")
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    parser.add_argument("--work", help="folder for intermediate tables, one per concurrent run")
+    parser.add_argument("--work", help="where the run makes and removes its folder of intermediate tables")
     parser.add_argument("--current-year", type=int, default=CURRENT_YEAR)
     args = parser.parse_args()
 
     spark = build_session("score-batch")
     columnar = args.input_format == "parquet"
     if columnar:
-        listings = spark.read.parquet(args.input)
+        listings = read_listings_table(spark, args.input)
     else:
         listings = read_listings_csv(
             spark, args.input, line_breaks_in_fields=not args.one_line_records
         )
-    scored = score_batch(
-        clean_batch(listings),
-        current_year=args.current_year,
-        scan_twice=columnar,
-        work_path=args.work,
-    )
-    options = dict(pair.split("=", 1) for pair in args.option)
-    overwrite_table(published(scored), args.output, args.format, **options)
+    work = f"{args.work.rstrip('/')}/{uuid.uuid4().hex}" if args.work else new_folder(spark, "run")
+    try:
+        scored = score_batch(
+            clean_batch(listings),
+            current_year=args.current_year,
+            scan_twice=columnar,
+            work_path=work,
+        )
+        options = dict(pair.split("=", 1) for pair in args.option)
+        overwrite_table(published(scored), args.output, args.format, **options)
+    finally:
+        remove_folder(spark, work)
     spark.stop()
 
 

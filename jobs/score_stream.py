@@ -13,7 +13,7 @@ from lotwise.schema import CURRENT_YEAR
 from lotwise.session import build_session
 from lotwise.sources.messages import TOPIC, read_bus
 from lotwise.streaming.jobs import await_idle, start_scoring
-from lotwise.streaming.sinks import console_sink
+from lotwise.streaming.sinks import all_of, console_sink, file_sink
 
 
 def main() -> None:
@@ -21,11 +21,11 @@ def main() -> None:
     parser.add_argument("--servers", required=True)
     parser.add_argument("--topic", default=TOPIC)
     parser.add_argument("--starting-offsets", default="latest")
-    parser.add_argument("--max-offsets-per-trigger", type=int, help="bound of a micro-batch")
+    parser.add_argument("--max-offsets-per-trigger", type=int, default=1_000_000)
     parser.add_argument("--min-partitions", type=int, help="cut large topic partitions")
     parser.add_argument("--output", required=True)
     parser.add_argument("--checkpoint", help="default: inside the output folder")
-    parser.add_argument("--console", action="store_true", help="print tables, do not write them")
+    parser.add_argument("--console", action="store_true", help="print the tables' first rows too")
     parser.add_argument("--every", default="10 seconds")
     parser.add_argument("--idle-seconds", type=float, help="stop once idle; default: never stop")
     parser.add_argument("--current-year", type=int, default=CURRENT_YEAR)
@@ -42,7 +42,7 @@ def main() -> None:
     query = start_scoring(
         messages,
         args.output,
-        sink=console_sink() if args.console else None,
+        sink=all_of(file_sink(args.output), console_sink()) if args.console else None,
         checkpoint=args.checkpoint,
         trigger={"processingTime": args.every},
         current_year=args.current_year,

@@ -128,11 +128,14 @@ def cleaning_counts(listings: DataFrame) -> DataFrame:
     )
 
 
-def batch_metrics(summary: DataFrame, scored: DataFrame) -> DataFrame:
+def batch_metrics(
+    summary: DataFrame, scored: DataFrame, volatile: DataFrame | None = None
+) -> DataFrame:
     """Name and value of each count of one batch.
 
     Received rows and segments come from the summary, which already counts every
-    row; the alert counts come from one pass over the scored rows.
+    row; the alert counts come from one pass over the scored rows. Volatile segments
+    can be passed where they are kept already.
     """
     rating = F.col("deal_rating")
     received = summary.agg(
@@ -144,8 +147,9 @@ def batch_metrics(summary: DataFrame, scored: DataFrame) -> DataFrame:
         F.count_if(rating == "RISKY_BUY").alias("risky_buys"),
         F.count_if(rating == "EXTREME_OVERPRICE").alias("extreme_overprices"),
     )
-    volatile = volatile_segments(scored).agg(F.count(F.lit(1)).alias("volatile_segments"))
-    return _as_rows(received).union(_as_rows(alerts)).union(_as_rows(volatile))
+    listed = volatile_segments(scored) if volatile is None else volatile
+    wide = listed.agg(F.count(F.lit(1)).alias("volatile_segments"))
+    return _as_rows(received).union(_as_rows(alerts)).union(_as_rows(wide)).coalesce(1)
 
 
 def _as_rows(counts: DataFrame) -> DataFrame:

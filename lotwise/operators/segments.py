@@ -23,6 +23,8 @@ from lotwise.operators.tables import stored
 
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 HASHED_SHARE_BYTES = 64 * 1024 * 1024
+# Listings of one segment that one task is meant to hold.
+SLICE_ROWS = 1_000_000
 ROW_OVERHEAD_BYTES = 96
 
 
@@ -51,6 +53,7 @@ def with_segment_statistics(
     odometer: bool = False,
     table_path: str | None = None,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add the statistics of its segment to every listing.
 
@@ -63,7 +66,7 @@ def with_segment_statistics(
     if size["bytes"] <= broadcast_limit:
         joined = listings.join(F.broadcast(named), _same_segment(keys), "left")
     else:
-        joined = _sliced_join(listings, named, keys, size)
+        joined = _sliced_join(listings, named, keys, size, slice_rows)
     return joined.drop("segment_rows", *[_own(key) for key in keys])
 
 
@@ -79,23 +82,27 @@ def _measure(statistics: DataFrame, keys: list[str]) -> dict[str, int]:
 
 
 def _sliced_join(
-    listings: DataFrame, statistics: DataFrame, keys: list[str], size: dict[str, int]
+    listings: DataFrame,
+    statistics: DataFrame,
+    keys: list[str],
+    size: dict[str, int],
+    slice_rows: int,
 ) -> DataFrame:
-    """Shuffled join in which no segment outgrows one task's fair share.
+    """Shuffled join in which no segment outgrows one task.
 
-    A large segment is one above the fair share of a shuffle partition. There
-    are fewer of them than shuffle partitions, whatever the data, so their list
-    (one hash and one number each) is always fit to broadcast.
+    A segment above ``slice_rows`` is cut into slices of about that many rows. Such
+    segments are fewer than one in ``slice_rows`` listings, so their list (one hash
+    and one number each) stays fit to broadcast.
 
     The statistics spread evenly, one row per segment and slice. Where a task's
     share of them is small it is hashed, which saves sorting the listings.
     """
-    partitions = int(listings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fair_share = max(1, size["rows"] // partitions)
+    number = listings.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    partitions = int(number) if number.isdigit() else 1
     large = (
-        statistics.filter(F.col("segment_rows") > fair_share)
+        statistics.filter(F.col("segment_rows") > slice_rows)
         .groupBy(F.xxhash64(*[_own(key) for key in keys]).alias("_large_segment"))
-        .agg(F.max(F.ceil(F.col("segment_rows") / fair_share)).cast("int").alias("_slices"))
+        .agg(F.max(F.ceil(F.col("segment_rows") / slice_rows)).cast("int").alias("_slices"))
     )
     large = F.broadcast(large)
     slices = F.coalesce("_slices", F.lit(1))

@@ -193,6 +193,7 @@ ORACLES: dict[str, str] = {
     "src_json_decode": _with(
         [LISTINGS], f"{_ROWS_ONLY}, null::varchar as condition, event_time from listings"
     ),
+    "src_first_n_small": _with([LISTINGS], f"select {LISTING} from listings order by id limit 100"),
     "src_first_n": _with([LISTINGS], f"select {LISTING} from listings order by id limit 10000"),
     "prj_standardize": _with(
         [LISTINGS, STANDARD], "select id, manufacturer, model, vin, title_status from standard"
@@ -219,6 +220,11 @@ ORACLES: dict[str, str] = {
     "win_price_stats": _with(
         BATCH_PLACED,
         """select id, manufacturer, model, year, market_avg_price, market_std_dev_price, group_count
+from batch_placed""",
+    ),
+    "win_price_stats_sliced": _with(
+        BATCH_PLACED,
+        """select id, manufacturer, model, year, market_avg_price, market_std_dev_price, group_count
 from batch_placed""",
     ),
     "win_odometer_stats": _with(
@@ -284,7 +290,9 @@ order by id limit 5""",
     "preview_low_trust": _with(BATCH_TRUST, f"{LOW_TRUST} order by id limit 5"),
     "preview_sourcing_hubs": _with(BATCH_PLACED, f"{HUBS} order by id limit 5"),
     "preview_final": _with(BATCH, f"{FINAL_ROWS} order by id limit 5"),
-    "batch_publish": _with(BATCH, PUBLISHED),
+    "batch_publish": _with(
+        BATCH, f"select *, timestamp '2001-08-02 00:00:00' as processed_at from ({PUBLISHED})"
+    ),
     "snk_overwrite": _with(BATCH, PUBLISHED),
     "str_score_alerts": _with(LIVE, ALL_ALERTS),
     "str_segment_summary": _with(
@@ -303,4 +311,7 @@ from listings""",
         f"""{_ROWS_ONLY}, case when event_time < timestamp '1998-01-01 00:00:00' then 0 else 1 end
   as batch_id from listings""",
     ),
+    "snk_new_checkpoint": _with([LISTINGS], f"{_ROWS_ONLY}, 0 as batch_id from listings"),
+    "str_empty_batch": _with([LISTINGS], f"{_ROWS_ONLY} from listings"),
+    "str_idle_stop": _with([LISTINGS], f"{_ROWS_ONLY} from listings"),
 }

@@ -124,6 +124,12 @@ def src_first_n(spark, sf_dir):
     return files.first_rows(standin_listings(spark, sf_dir).select(*LISTING))
 
 
+@query
+def src_first_n_small(spark, sf_dir):
+    """So few rows that the id range is narrowed at every scale."""
+    return files.first_rows(standin_listings(spark, sf_dir).select(*LISTING), 100)
+
+
 # Preparation.
 
 
@@ -181,6 +187,17 @@ def win_price_stats(spark, sf_dir):
     )
 
 
+@query
+def win_price_stats_sliced(spark, sf_dir):
+    """The shuffled join, with segments cut into slices, as for statistics that are
+    too large to broadcast."""
+    cleaned = stored(_cleaned_batch(spark, sf_dir).select(*scoring.BATCH_COLUMNS))
+    placed = segments.with_segment_statistics(cleaned, broadcast_limit=-1, slice_rows=100)
+    return placed.select(
+        "id", *S.SEGMENT_KEYS, "market_avg_price", "market_std_dev_price", "group_count"
+    )
+
+
 @query
 def win_odometer_stats(spark, sf_dir):
     return _placed_live(spark, sf_dir).select(
@@ -369,7 +386,9 @@ def preview_final(spark, sf_dir):
 
 @query
 def batch_publish(spark, sf_dir):
-    return scoring.published(_scored_batch(spark, sf_dir)).drop("processed_at")
+    loaded = F.lit(ARRIVAL).cast("timestamp")
+    table = scoring.published(_scored_batch(spark, sf_dir), loaded)
+    return table.withColumn("processed_at", F.col("processed_at").cast("timestamp_ntz"))
 
 
 @query
@@ -451,3 +470,50 @@ def str_restart(spark, sf_dir):
         messages.write_message_files(_stamped(arriving), folder)
         _load(spark, folder, output)
     return read_table(spark, output, "listings").select(*LISTING, "VIN", "batch_id")
+
+
+def _load_parts(spark: SparkSession, sf_dir: str, output: str, checkpoint: str | None) -> None:
+    """Load the earlier listings, then the later ones from another folder of messages."""
+    listings = standin_listings(spark, sf_dir)
+    early = F.col("event_time") < F.lit(RESTARTED).cast("timestamp_ntz")
+    arrival = F.lit(ARRIVAL).cast("timestamp")
+    for number, arriving in enumerate((listings.filter(early), listings.filter(~early))):
+        stream = messages.read_message_files(spark, _message_folder(spark, arriving))
+        place = checkpoint and f"{checkpoint}/{number}"
+        jobs.start_loading(
+            stream, output, trigger=AVAILABLE_NOW, clock=lambda: arrival, checkpoint=place
+        ).awaitTermination()
+
+
+@query
+def snk_new_checkpoint(spark, sf_dir):
+    """Two loads into one output, each with a checkpoint of its own: no row is lost."""
+    output = new_folder(spark, "loaded")
+    _load_parts(spark, sf_dir, output, new_folder(spark, "checkpoints"))
+    return read_table(spark, output, "listings").select(*LISTING, "VIN", "batch_id")
+
+
+@query
+def str_empty_batch(spark, sf_dir):
+    """Of three files the middle one holds no message; its batch writes nothing."""
+    listings = standin_listings(spark, sf_dir)
+    early = F.col("event_time") < F.lit(RESTARTED).cast("timestamp_ntz")
+    folder, output = new_folder(spark, "messages"), new_folder(spark, "loaded")
+    for arriving in (listings.filter(early), listings.filter("false"), listings.filter(~early)):
+        messages.write_message_files(_stamped(arriving).coalesce(1), folder)
+    _load(spark, folder, output, max_files_per_trigger=1)
+    return read_table(spark, output, "listings").select(*LISTING, "VIN")
+
+
+@query
+def str_idle_stop(spark, sf_dir):
+    """A stream on a clock, stopped once it has had nothing to read for a while."""
+    folder = _message_folder(spark, standin_listings(spark, sf_dir))
+    output = new_folder(spark, "loaded")
+    stream = messages.read_message_files(spark, folder)
+    arrival = F.lit(ARRIVAL).cast("timestamp")
+    running = jobs.start_loading(
+        stream, output, trigger={"processingTime": "1 second"}, clock=lambda: arrival
+    )
+    jobs.await_idle(running, idle_seconds=3, poll_seconds=0.5)
+    return read_table(spark, output, "listings").select(*LISTING, "VIN")

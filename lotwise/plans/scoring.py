@@ -10,18 +10,7 @@ from lotwise.operators import arbitrage, forensics, prepare, rating, segments
 from lotwise.operators.tables import stored
 
 # Columns the plans use; everything else is left behind at the scan.
-BATCH_COLUMNS = [
-    "id",
-    "manufacturer",
-    "model",
-    "year",
-    "price",
-    "odometer",
-    "region",
-    "lat",
-    "long",
-    "vin",
-]
+BATCH_COLUMNS = S.PUBLISHED_COLUMNS[: S.PUBLISHED_COLUMNS.index("vin") + 1]
 LIVE_COLUMNS = ["id", "manufacturer", "model", "year", "price", "odometer", "vin"]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,21 +25,28 @@ def build_session(app_name: str, **overrides: str) -> SparkSession:
 
 
 def working_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local master, where
-    driver and tasks share one disk, gets a fresh temporary folder instead.
+    Where it is unset, a local master, whose tasks share the driver's disk, keeps
+    them below its warehouse folder; a cluster has to name a folder.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="lotwise-"))
-        root = context.getCheckpointDir()
+        root = f"{spark.conf.get('spark.sql.warehouse.dir', 'spark-warehouse')}/lotwise-work"
     return root.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path nobody has used yet, below the shared working folder."""
     return f"{working_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the caller's own, on any file system; absent is fine."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from lotwise import schema as S
 from lotwise.functions.parsing import integer_from_double
+from lotwise.operators.tables import stored
 
 # Quotes inside quoted fields are doubled.
 QUOTING = {"quote": '"', "escape": '"'}
@@ -23,23 +24,66 @@ def loose_schema() -> T.StructType:
     )
 
 
+# A file with line breaks in fields is read whole by one task, so it may not be larger.
+WHOLE_FILE_BYTES = 4 << 30
+
+# A listing without one of these columns is of no use.
+NEEDED_COLUMNS = ["id", *S.REQUIRED_COLUMNS]
+
+
 def read_listings_csv(
-    spark: SparkSession, path: str | list[str], *, line_breaks_in_fields: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    line_breaks_in_fields: bool = True,
+    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
-    """Listings from CSV with a header row that must name the listing columns.
+    """Listings from CSV, columns taken by the names in the header row.
+
+    Columns may come in any order; further ones are ignored, absent ones are null,
+    but the needed ones must be there. All files must have the same header.
 
     Descriptions hold line breaks inside quotes. Reading those rightly means one
-    task per file, so large feeds should come as many files. Feeds known to
-    hold none can pass ``line_breaks_in_fields=False`` to split files as well.
+    task per file, so a file above ``whole_file_bytes`` is refused: deliver large
+    feeds as many files. Feeds known to hold no breaks can pass
+    ``line_breaks_in_fields=False`` to split files as well.
     """
-    listings = spark.read.schema(loose_schema()).csv(
-        path,
-        header=True,
-        enforceSchema=False,
-        multiLine=line_breaks_in_fields,
-        **QUOTING,
-    )
-    return listings.withColumn("price", integer_from_double(F.col("price")))
+    if line_breaks_in_fields:
+        _refuse_large_files(spark, path, whole_file_bytes)
+    options = {"header": True, "multiLine": line_breaks_in_fields, **QUOTING}
+    named = spark.read.csv(path, **options)
+    present = {name.lower() for name in named.columns}
+    absent = [name for name in NEEDED_COLUMNS if name.lower() not in present]
+    if absent:
+        raise ValueError(f"the CSV header has no column {', '.join(absent)}")
+    text = spark.read.schema(named.schema).csv(path, enforceSchema=False, **options)
+    return typed_listings(text)
+
+
+def _refuse_large_files(spark: SparkSession, path: str | list[str], limit: int) -> None:
+    """Only lengths are listed here; no file is read."""
+    found = spark.read.format("binaryFile").load(path).select("path", "length")
+    large = found.filter(F.col("length") > limit).limit(1).collect()
+    if large:
+        raise ValueError(
+            f"{large[0]['path']} has {large[0]['length']} bytes, which one task would have to "
+            "read: cut it into files, or say that fields hold no line breaks"
+        )
+
+
+def read_listings_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
+    """Listings from a columnar table, brought to the same types as from CSV."""
+    return typed_listings(spark.read.format(format).load(path))
+
+
+def typed_listings(listings: DataFrame) -> DataFrame:
+    """The listing record by column name; values that do not fit a type are null."""
+    present = {name.lower() for name in listings.columns}
+    columns = [
+        (F.col(f.name).try_cast(f.dataType) if f.name.lower() in present else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in loose_schema().fields
+    ]
+    return listings.select(*columns).withColumn("price", integer_from_double(F.col("price")))
 
 
 def write_listings_csv(listings: DataFrame, path: str) -> None:
@@ -56,40 +100,41 @@ def record_columns(listings: DataFrame) -> list:
     ]
 
 
-# A bounded read looks for a cut-off once the table is this many times larger,
-# and splits the id range into this many parts per look.
-DIRECT_READ_FACTOR = 100
+# Into how many parts a bounded read splits the id range per look, and how many rows
+# beyond the wanted ones it leaves to the final sort.
 RANGE_PARTS = 1000
+SPARE_FACTOR = 2
 
 
 def first_rows(
     listings: DataFrame,
     n: int = S.BOUNDED_READ_ROWS,
     *,
-    direct_factor: int = DIRECT_READ_FACTOR,
+    spare_factor: int = SPARE_FACTOR,
 ) -> DataFrame:
     """A bounded read: the first ``n`` listings by id.
 
     Each task of a plain sort-and-limit hands ``n`` rows to one last task, too
-    many where there are many tasks. Large tables are therefore first cut at an
-    id that at least ``n`` rows do not exceed, a filter that scans can use.
+    many where there are many tasks. The table is therefore first cut at an id
+    that at least ``n`` rows do not exceed, a filter that scans can use. The ids
+    are stored once, so the source is read twice in all.
     """
-    cut = _cut_off(listings.select("id"), n, direct_factor)
+    cut = _cut_off(stored(listings.select("id")), n, n * max(1, spare_factor))
     kept = listings if cut is None else listings.filter(F.col("id") <= cut)
     return kept.orderBy(F.asc_nulls_last("id")).limit(n)
 
 
-def _cut_off(ids: DataFrame, n: int, direct_factor: int) -> int | None:
+def _cut_off(ids: DataFrame, n: int, enough: int) -> int | None:
     """Narrow the range that holds the n-th id, by counting rows per part of it."""
     column = F.col("id")
-    few = n * max(1, direct_factor)
     low, high, inside = ids.agg(F.min(column), F.max(column), F.count(column)).first()
-    if inside <= few:
+    if inside < n:
         return None
     below = 0
-    while below + inside > few and low < high:
+    while below + inside > enough and low < high:
         width = (high - low) // RANGE_PARTS + 1
-        part = F.expr(f"(id - {low}L) div {width}L")
+        # Ids lie anywhere in 64 bits, so their distance may need more.
+        part = F.expr(f"(cast(id as decimal(20,0)) - ({low}BD)) div {width}BD").cast("int")
         counted = ids.filter(column.between(low, high)).groupBy(part.alias("part")).count()
         for row in counted.orderBy("part").collect():
             inside = row["count"]

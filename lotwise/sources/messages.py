@@ -10,8 +10,8 @@ from lotwise import schema as S
 from lotwise.functions.parsing import integer_from_double, known_number, known_text
 from lotwise.sources.files import loose_schema
 
-# Fixed value: the topic listings travel on.
-TOPIC = "car_data"
+# The topic listings travel on, unless another is named.
+TOPIC = "listings"
 
 
 def message_value(listings: DataFrame) -> Column:

@@ -71,25 +71,27 @@ def score_micro_batch(
     current_year: int = S.CURRENT_YEAR,
 ) -> None:
     """The source is read once: the batch is kept while its passes run. What an
-    executor loses of it is read again from the source."""
+    executor loses of it is read again from the source. The summary is computed
+    once too; it tells whether the batch has rows at all."""
     received = prepare.standardize(batch.select(*SCORED_COLUMNS, "event_time")).persist()
+    summary = reports.segment_summary(received).persist()
+    held = [received, summary]
     try:
-        if received.isEmpty():
+        if not summary.agg(F.sum("listings_count")).first()[0]:
             return
         cleaned = clean_live(received)
-        scored = score_live(
-            cleaned, current_year=current_year, table_path=statistics_path
-        ).persist()
-        try:
-            summary = reports.segment_summary(received)
-            sink(reports.in_summary_order(summary), "segment_summary", batch_id)
-            for name, alerts in reports.ALERTS.items():
-                sink(reports.in_alert_order(alerts(scored), name), name, batch_id)
-            sink(reports.batch_metrics(summary, scored), "batch_metrics", batch_id)
-        finally:
-            scored.unpersist()
+        scored = score_live(cleaned, current_year=current_year, table_path=statistics_path)
+        held.append(scored.persist())
+        volatile = reports.volatile_segments(scored)
+        held.append(volatile.persist())
+        sink(reports.in_summary_order(summary), "segment_summary", batch_id)
+        for name, alerts in reports.ALERTS.items():
+            found = volatile if name == "volatile_segments" else alerts(scored)
+            sink(reports.in_alert_order(found, name), name, batch_id)
+        sink(reports.batch_metrics(summary, scored, volatile), "batch_metrics", batch_id)
     finally:
-        received.unpersist()
+        for frame in reversed(held):
+            frame.unpersist()
 
 
 def start_loading(

@@ -14,41 +14,66 @@ from pyspark.sql import functions as F
 from lotwise import schema as S
 from lotwise.operators.tables import append_table
 
+# Where Spark notes the streaming query that a thread works for.
+QUERY_ID = "sql.streaming.queryId"
+
 Sink = Callable[[DataFrame, str, int], None]
 
 
+def current_run(spark: SparkSession) -> str:
+    """The id of the streaming query that handles a batch now. It stays the same
+    when a query starts again from its checkpoint, and is new with a new one."""
+    return spark.sparkContext.getLocalProperty(QUERY_ID) or "direct"
+
+
 def file_sink(root: str, format: str = "parquet", **options: str) -> Sink:
-    """Each batch owns one folder of each table and replaces it when it runs
-    again, so every row is there once."""
+    """Each batch of each query owns one folder of each table and replaces it when
+    it runs again, so every row is there once. Batch numbers begin anew with a new
+    checkpoint; the query's id keeps such batches apart."""
 
     def write(frame: DataFrame, table: str, batch_id: int) -> None:
-        folder = f"{root}/{table}/batch_id={batch_id}"
+        folder = f"{root}/{table}/run={current_run(frame.sparkSession)}/batch_id={batch_id}"
         frame.write.format(format).options(**options).mode("overwrite").save(folder)
 
     return write
 
 
 def append_sink(format: str, table_option: str, prefix: str = "", **options: str) -> Sink:
-    """Append to warehouse tables. A batch that runs again appends again; its
-    number is written along so that readers can tell."""
+    """Append to warehouse tables: at least once. A batch that runs again appends
+    again; its query and number are written along so that readers can tell."""
 
     def write(frame: DataFrame, table: str, batch_id: int) -> None:
-        numbered = frame.withColumn("batch_id", F.lit(batch_id))
+        run = current_run(frame.sparkSession)
+        numbered = frame.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
         append_table(numbered, format=format, **{table_option: f"{prefix}{table}"}, **options)
 
     return write
 
 
 def console_sink(rows: int = S.SUMMARY_TOP) -> Sink:
-    """Print the first rows of each table: a look at the stream, not a result."""
+    """Print the first rows of each table and say how many there are: a look at the
+    stream, to be used beside a sink that keeps everything."""
 
     def write(frame: DataFrame, table: str, batch_id: int) -> None:
-        print(f"{table}, batch {batch_id}")
+        total = frame.count()
+        print(f"{table}, batch {batch_id}: {min(rows, total)} of {total} rows")
         frame.show(rows, truncate=False)
 
     return write
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """All batches of a table of a parquet file sink, with their ``batch_id``."""
-    return spark.read.parquet(f"{root}/{table}")
+def all_of(*sinks: Sink) -> Sink:
+    """Hand every table to each of the sinks, in order."""
+
+    def write(frame: DataFrame, table: str, batch_id: int) -> None:
+        for sink in sinks:
+            sink(frame, table, batch_id)
+
+    return write
+
+
+def read_table(spark: SparkSession, root: str, table: str, *, with_run: bool = False) -> DataFrame:
+    """All batches of a table of a parquet file sink, with their ``batch_id`` and, if
+    asked for, the ``run`` they belong to."""
+    found = spark.read.parquet(f"{root}/{table}")
+    return found if with_run else found.drop("run")

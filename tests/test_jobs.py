@@ -60,9 +60,7 @@ def test_score_batch_by_submission(spark, tmp_path):
     expected = scoring.published(scoring.score_batch(scoring.clean_batch(listings)))
     found, wanted = table.drop("processed_at"), expected.drop("processed_at")
     assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
-    assert sorted(path.name for path in (tmp_path / "work").iterdir()) == [
-        "listings", "statistics",
-    ]
+    assert list((tmp_path / "work").iterdir()) == []
 
 
 def test_publish_and_load(spark, run_job, tmp_path):

@@ -119,18 +119,18 @@ class Unset:
         self.chosen = chosen
 
     def get(self, key, default):
-        return default
+        return "/w" if key == "spark.sql.warehouse.dir" else default
 
     def getCheckpointDir(self):
         return self.chosen
 
-    def setCheckpointDir(self, path):
-        self.chosen = path
 
-
-def test_only_a_local_master_gets_a_temporary_folder():
+def test_only_a_local_master_works_below_its_warehouse():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         working_root(Unset("spark://host:7077"))
     assert working_root(Unset("yarn", "hdfs://shared/x/")) == "hdfs://shared/x"
     local = Unset("local[2]")
-    assert working_root(local) == working_root(local)
+    assert working_root(local) == "/w/lotwise-work"
+    assert local.chosen is None
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        working_root(Unset("local-cluster[2,1,1024]"))

@@ -11,10 +11,10 @@ import pytest
 from conftest import physical_plan
 
 import __spark_entry__ as entry_points
+from lotwise.plans.checks import ORACLES
+from lotwise.plans.registry import QUERIES
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +27,8 @@ def database():
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
@@ -48,5 +50,5 @@ def test_query_matches_sql(spark, database, name):
 
 def test_entry(spark):
     frame = entry_points.entry(spark)
-    assert frame.columns[0] == "id" and frame.columns[-1] == "deal_rating"
+    assert frame.columns[0] == "id" and frame.columns[-1] == "processed_at"
     assert frame.count() > 0

@@ -96,7 +96,7 @@ def test_large_statistics_are_shuffled_and_hot_segments_cut(
 ):
     settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
     monkeypatch.setattr(segments, "HASHED_SHARE_BYTES", hashed_share)
-    placed = segments.with_segment_statistics(skewed, broadcast_limit=-1)
+    placed = segments.with_segment_statistics(skewed, broadcast_limit=-1, slice_rows=500)
     assert join in physical_plan(placed)
     assert placed.count() == 9000
     tasks = (

@@ -11,7 +11,7 @@ from lotwise.plans.scoring import clean_live, score_live
 from lotwise.sources import messages
 from lotwise.sources.standin import standin_listings
 from lotwise.streaming import jobs
-from lotwise.streaming.sinks import append_sink, console_sink, file_sink, read_table
+from lotwise.streaming.sinks import all_of, append_sink, console_sink, file_sink, read_table
 
 NOW = {"availableNow": True}
 MOMENT = datetime(2024, 5, 1, tzinfo=timezone.utc)
@@ -121,6 +121,26 @@ def test_restart_loads_each_row_once(spark, listings, tmp_path):
     assert batches == [(0,), (1,)]
 
 
+def test_a_new_checkpoint_keeps_earlier_rows(spark, listings, tmp_path):
+    output = str(tmp_path / "out")
+    for number in range(2):
+        folder = str(tmp_path / f"in{number}")
+        send(listings.filter(f"id % 2 = {number}"), folder)
+        load(spark, folder, output, checkpoint=str(tmp_path / f"checkpoint{number}"))
+    found = read_table(spark, output, "listings", with_run=True)
+    assert same_rows(found.select("id", "price", "VIN"), listings.select("id", "price", "vin"))
+    assert found.select("run").distinct().count() == 2
+
+
+def test_console_comes_in_addition(spark, listings, tmp_path, capsys):
+    output = str(tmp_path / "out")
+    batch = listings.withColumnRenamed("vin", "VIN")
+    jobs.score_micro_batch(batch, 0, all_of(file_sink(output), console_sink(rows=2)))
+    written = read_table(spark, output, "segment_summary")
+    assert written.agg(F.sum("listings_count")).first()[0] == listings.count()
+    assert f"segment_summary, batch 0: 2 of {written.count()} rows" in capsys.readouterr().out
+
+
 def test_latency_of_each_batch(spark, listings, tmp_path):
     folder, output = str(tmp_path / "in"), str(tmp_path / "out")
     early = listings.withColumn("event_time", F.lit("2024-04-30 23:59:58.500").cast("timestamp"))
