@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lotwise.llm import shared
-from lotwise.llm.pretokens import PATTERN, TextEncoder
+from lotwise.llm.pretokens import KEPT_PIECES, PATTERN, TextEncoder
 
 SHORT_WORD = 96
 NO_MERGE = 1 << 40
@@ -133,7 +133,7 @@ def encoder(path: str) -> TextEncoder:
             if ids is None:
                 ids = np.array(words.merge_word(word.encode("utf-8")), "<u4").tobytes()
                 if len(word) <= SHORT_WORD // 4:
-                    if len(known) >= 400_000:
+                    if len(known) >= KEPT_PIECES:
                         known.clear()
                     known[word] = ids
             out.append(ids)

@@ -22,7 +22,7 @@ LOOSE_SPACE = regex.compile(rf" (?:[{SPACE}]|\Z)")
 
 # Pieces longer than this are not remembered; a full memory starts anew.
 LONGEST_KEPT = 64
-KEPT_PIECES = 400_000
+KEPT_PIECES = 120_000
 
 
 class PieceMemory(dict):
