@@ -39,12 +39,13 @@ def own_name(folder: str, stem: str, suffix: str) -> str:
 def create(path: str):
     files, name = locate(path)
     files.create_dir(name.rsplit("/", 1)[0], recursive=True)
-    return files.open_output_stream(name)
+    # Else a name that ends in .zst would be compressed again.
+    return files.open_output_stream(name, compression=None)
 
 
 def open_stream(path: str):
     files, name = locate(path)
-    return files.open_input_stream(name)
+    return files.open_input_stream(name, compression=None)
 
 
 def open_file(path: str):

@@ -12,7 +12,8 @@ The longest listed key decides, of equally long ones that with the longer host.
 A URL without a listed key is allowed. A url that is null or has no ``://`` has an
 empty host and path and no key. A key listed both ways blocks. Rules without a
 host or with another verdict than allow or block are ignored, as are those whose
-path is neither empty nor begins with a slash. Rows are kept one to one.
+path is neither empty nor begins with a slash. Rows are kept one to one with all
+columns, but host, path, rule and verdict are replaced.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.llm.shared import free_name
 from lotwise.operators.tables import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -62,10 +64,10 @@ def usable(rules: DataFrame) -> DataFrame:
     )
 
 
-def with_keys(pages: DataFrame, lengths: list[int]) -> DataFrame:
-    """Add host, path and ``keys``: all keys of the URL, the longest first."""
+def with_keys(pages: DataFrame, lengths: list[int], into: str) -> DataFrame:
+    """Add host, path and, under the name ``into``, all keys of the URL, longest first."""
     host, path = host_and_path(F.col("url").cast("string"))
-    kept = pages.drop("host", "path", "keys").withColumns({"host": host, "path": path})
+    kept = pages.withColumns({"host": host, "path": path})
     labels = F.split("host", "\\.")
     names = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
@@ -86,7 +88,7 @@ def with_keys(pages: DataFrame, lengths: list[int]) -> DataFrame:
             ),
         )
     )
-    return kept.withColumn("keys", F.transform(F.array_sort(pairs), lambda p: p["key"]))
+    return kept.withColumn(into, F.transform(F.array_sort(pairs), lambda p: p["key"]))
 
 
 def hashes(key: Column) -> list[Column]:
@@ -201,14 +203,16 @@ def judge(
     spark = pages.sparkSession
     listed = stored(usable(rules).select("key", "blocks", "path_length", *hashes(F.col("key"))))
     lengths = sorted(r[0] for r in listed.select("path_length").distinct().collect())
-    keyed = with_keys(pages, lengths)
+    pages = pages.drop("host", "path", "rule", "verdict")
+    keys = free_name(pages, "keys")
+    keyed = with_keys(pages, lengths, keys)
     universe = stored(
-        keyed.select(F.explode("keys").alias("key")).distinct().select("key", *hashes(F.col("key")))
+        keyed.select(F.explode(keys).alias("key")).distinct().select("key", *hashes(F.col("key")))
     )
     blocking = build_cascade(listed.filter("blocks"), universe, max_bytes=max_bytes)
     allowing = build_cascade(listed.filter("not blocks"), universe, max_bytes=max_bytes)
     if blocking is None or allowing is None:
-        return _joined(keyed, listed)
+        return _joined(keyed, listed, keys)
     held = spark.sparkContext.broadcast((blocking, allowing))
 
     @F.pandas_udf("place int, blocks boolean")
@@ -226,27 +230,33 @@ def judge(
         blocks[first] = bad[hits[where]]
         return pd.DataFrame({"place": place, "blocks": blocks})
 
-    h1 = F.transform("keys", lambda k: F.xxhash64(k))
-    h2 = F.transform("keys", lambda k: F.xxhash64(k, F.lit(1)))
-    found = keyed.withColumn("found", first_listed(h1, h2))
-    rule = F.try_element_at("keys", F.col("found.place") + 1)
-    return found.select(
-        *[F.col(c) for c in keyed.columns if c not in ("keys", "rule", "verdict")],
-        F.when(F.col("found.place") >= 0, rule).alias("rule"),
-        F.when(F.col("found.blocks"), BLOCK).otherwise(ALLOW).alias("verdict"),
-    )
+    h1 = F.transform(keys, lambda k: F.xxhash64(k))
+    h2 = F.transform(keys, lambda k: F.xxhash64(k, F.lit(1)))
+    found = free_name(keyed, "found")
+    decided = keyed.withColumn(found, first_listed(h1, h2))
+    rule = F.try_element_at(keys, F.col(f"{found}.place") + 1)
+    return decided.withColumns(
+        {
+            "rule": F.when(F.col(f"{found}.place") >= 0, rule),
+            "verdict": F.when(F.col(f"{found}.blocks"), BLOCK).otherwise(ALLOW),
+        }
+    ).drop(found, keys)
 
 
-def _joined(keyed: DataFrame, listed: DataFrame) -> DataFrame:
+def _joined(keyed: DataFrame, listed: DataFrame, keys: str) -> DataFrame:
     """The same by a join, for more rules than a broadcast filter may hold."""
-    numbered = stored(keyed.withColumn("_row", F.monotonically_increasing_id()))
-    keys = numbered.select("_row", F.posexplode("keys").alias("place", "key"))
-    best = F.min(F.struct("place", "key", "blocks"))
-    found = (
-        keys.join(listed.select("key", "blocks"), "key").groupBy("_row").agg(best.alias("found"))
-    )
-    return numbered.join(found, "_row", "left").select(
-        *[F.col(c) for c in keyed.columns if c not in ("keys", "rule", "verdict")],
-        F.col("found.key").alias("rule"),
-        F.when(F.col("found.blocks"), BLOCK).otherwise(ALLOW).alias("verdict"),
+    row, found = free_name(keyed, "row"), free_name(keyed, "found")
+    numbered = stored(keyed.withColumn(row, F.monotonically_increasing_id()))
+    exploded = numbered.select(row, F.posexplode(keys).alias("place", "key"))
+    best = F.min(F.struct("place", "key", "blocks")).alias(found)
+    decided = exploded.join(listed.select("key", "blocks"), "key").groupBy(row).agg(best)
+    return (
+        numbered.join(decided, row, "left")
+        .withColumns(
+            {
+                "rule": F.col(f"{found}.key"),
+                "verdict": F.when(F.col(f"{found}.blocks"), BLOCK).otherwise(ALLOW),
+            }
+        )
+        .drop(row, found, keys)
     )

@@ -1,0 +1,290 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from conftest import SMALL, rows
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from lotwise.llm import components, hnsw, language, queries, raking, simhash, threshold
+
+
+def plain_fingerprint(text, shingle):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").encode()
+    words = [w for w in lower.translate(bytes.maketrans(b"\t\n\v\f\r", b"     ")).split(b" ") if w]
+    parts = [words[i : i + shingle] for i in range(len(words) - shingle + 1)] or [words]
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(b" ".join(p), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_groups(prints, bits):
+    """Least member of each component, by comparing all pairs."""
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(prints)
+    for a in ids:
+        for b in ids:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= bits:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in ids}
+
+
+def test_simhash_query_equals_all_pairs(spark):
+    texts = dict(rows(spark.read.parquet(f"{SMALL}/documents.parquet"), "doc_id", "text"))
+    prints = {i: plain_fingerprint(t, 3) for i, t in texts.items()}
+    groups = plain_groups(prints, 2)
+    found = queries.op6_simhash(spark, SMALL).collect()
+    assert {r.doc_id: (r.fingerprint, r.component_id) for r in found} == {
+        i: (f"{prints[i]:016x}", groups[i]) for i in texts
+    }
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2, 3])
+def test_links_equal_all_pairs(spark, bits):
+    draw = np.random.default_rng(bits)
+    centres = draw.integers(0, 2**63, 6).tolist()
+    numbers = set(centres) | {0, 1, 2**63, 2**64 - 1}
+    for centre in centres:
+        for _ in range(60):
+            changed = centre
+            for bit in draw.integers(0, 64, draw.integers(1, 6)):
+                changed ^= 1 << int(bit)
+            numbers.add(changed)
+    prints = dict(enumerate(sorted(numbers)))
+    signed = [(i, [n - 2**64 if n >= 2**63 else n]) for i, n in prints.items()]
+    nodes = spark.createDataFrame(signed, "id long, simhash array<long>")
+    found = dict(rows(simhash.link_nodes(nodes, words=1, max_bits=bits), "node", "root"))
+    assert {i: found.get(i, i) for i in prints} == plain_groups(prints, bits)
+
+
+def test_groups_of_odd_texts(spark):
+    texts = [(4, None), (2, " \t"), (7, ""), (None, "a b c d"), (9, "A B\tC  D"), (9, "a b c d"), (1, "x" * 500_000)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").withColumns(
+        {"id": F.lit(1), "root": F.lit(2), "component": F.lit(3), "entry": F.lit(4)}
+    )
+    found = simhash.near_groups(frame, shingle=3, max_bits=2)
+    key = lambda pair: (pair[0] is None, pair[0] or 0)
+    assert sorted(rows(found, "doc_id", "component_id"), key=key) == [
+        (1, 1), (2, 2), (4, 2), (7, 2), (9, 9), (9, 9), (None, 9),
+    ]
+    assert simhash.near_groups(frame.filter("false"), shingle=3, max_bits=2).collect() == []
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    chain = [(i + 1, i) for i in range(100, 180)]
+    star = [(0, i) for i in range(1000, 1400)]
+    edges = spark.createDataFrame([*chain, *star, (5, 5)], "a long, b long")
+    found = dict(rows(components.components(edges), "node", "root"))
+    assert found == {i: 100 for i in range(100, 181)} | {i: 0 for i in [0, *range(1000, 1400)]}
+
+
+NAN, INF = float("nan"), float("inf")
+VECTORS = [
+    (0, [1.0, 0.0]), (50, [1.0, 1.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None),
+    (4, [0.0, 0.0]), (5, [None, 1.0]), (6, [NAN, 1.0]), (7, [INF, 1.0]), (8, []), (None, [1.0, 0.0]),
+    (9, [1.0, 0.0, 0.0]), (10, [-1.0, 0.5]),
+]
+
+
+def test_small_searches(spark):
+    frame = spark.createDataFrame(VECTORS, "vec_id long, embedding array<float>")
+    frame = frame.withColumns({"size": F.lit(1), "shard": F.lit(2), "hash": F.lit(3)})
+    is_query = F.col("vec_id") % 50 == 0
+    near = sorted(rows(hnsw.nearest(frame, is_query, k=3, rows_in_shard=2)))
+    half = pytest.approx(2**-0.5)
+    assert near == [
+        (0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 50, half), (50, 1, 0, half), (50, 2, 1, half), (50, 3, 2, half),
+    ]
+    top = sorted(rows(threshold.top_scores(frame, is_query, k=3, rows_in_shard=2)))
+    one = 256 * 256
+    assert top == [
+        (0, 1, 1, 2 * one), (0, 2, 2, 2 * one), (0, 3, 50, one),
+        (50, 1, 1, 2 * one), (50, 2, 2, 2 * one), (50, 3, 0, one),
+    ]
+    for search in (hnsw.nearest, threshold.top_scores):
+        assert search(frame.filter("false"), is_query, k=3).collect() == []
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_lists_equal_a_full_scan(copies):
+    draw = np.random.default_rng(copies)
+    table = np.repeat(draw.integers(-300, 300, (400, 8)), copies, axis=0)
+    ids = draw.permutation(len(table))
+    lists = threshold.SortedLists.build(ids, table)
+    for query in [*draw.integers(-300, 300, (20, 8)), np.zeros(8, np.int64)]:
+        scores = table @ query
+        order = [i for i in np.lexsort((ids, -scores)) if ids[i] != 7][:5]
+        expected = [(int(ids[i]), int(scores[i])) for i in order]
+        assert lists.top(query, 7, 5) == expected
+
+
+def test_recall_of_the_graphs(spark):
+    folder = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
+    vectors = np.array(table.embedding.tolist(), np.float64)
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    found: dict = {}
+    for row in queries.op7_hnsw(spark, folder).collect():
+        found.setdefault(row.query_id, set()).add(row.vec_id)
+    hits = 0
+    for query, got in found.items():
+        at = int(np.flatnonzero(table.vec_id == query)[0])
+        scores = units @ units[at]
+        scores[at] = -2
+        hits += len(got & set(table.vec_id[np.argsort(-scores)[:5]]))
+    assert hits / (5 * len(found)) >= 0.9
+
+
+def test_ranks_equal_a_plain_count():
+    text = "Der Hund, der HUND & 12 die Katze"
+    words = [" der ", " hund ", " der ", " hund ", " die ", " katze "]
+    grams = Counter()
+    border = " der hund der hund die katze "
+    for n in (1, 2, 3):
+        for i in range(len(border) - n + 1):
+            gram = border[i : i + n]
+            if gram != " " and " " not in gram[1:-1]:
+                grams[gram] += 1
+    del words
+    expected = sorted(grams, key=lambda g: (-grams[g], len(g), [ord(c) for c in g]))
+    found = language.frequent(language.letter_codes(text), 400)
+    spelled = []
+    for number in found.tolist():
+        parts = []
+        while number:
+            parts.append(chr(number & 0x1FFFFF))
+            number >>= 21
+        spelled.append("".join(reversed(parts)))
+    assert spelled == expected
+
+
+def test_languages(spark):
+    folder = "/root/testdata/sf0.01"
+    truth = dict(rows(spark.read.parquet(f"{folder}/documents.parquet"), "doc_id", "lang"))
+    found = queries.op9_language(spark, folder).collect()
+    assert len(found) == len(truth)
+    held = [r for r in found if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found)
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_odd_texts_have_no_language(spark):
+    texts = [(1, None, "en"), (2, "", "en"), (3, "12 !?", None), (4, "hello", None), (5, "x" * 10**6, "en")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    profiles = language.learn(frame)
+    found = rows(language.identify(frame, profiles).orderBy("doc_id"), "lang_pred")
+    assert found == [("und",), ("und",), ("und",), ("en",), ("en",)]
+    nothing = language.learn(frame.filter("false"))
+    assert nothing is None
+    assert rows(language.identify(frame, nothing).select("lang_pred", "score").distinct()) == [("und", 0.0)]
+
+
+def test_margins_are_met(spark):
+    weighed = queries.op10_raking(spark, "/root/testdata/sf0.01").toPandas()
+    mass = weighed.tokens.clip(lower=1) * weighed.probability
+    for column, shares in queries.TARGETS.items():
+        known = weighed[column].isin(list(shares))
+        rest = weighed.tokens[known].sum() / weighed.tokens.sum()
+        for value, share in shares.items():
+            got = mass[weighed[column] == value].sum() / mass.sum()
+            assert got == pytest.approx(share * rest / sum(shares.values()), rel=1e-4)
+    assert weighed.probability.max() == pytest.approx(1.0)
+    assert len(weighed) == 1000
+
+
+def test_draws_follow_probabilities(spark):
+    frame = spark.range(40_000).withColumn("p", (F.col("id") % 5) / 4)
+    kept = frame.withColumn("k", raking.drawn(F.col("p"), F.col("id"))).groupBy("p").agg(
+        F.avg(F.col("k").cast("int"))
+    )
+    for chance, share in rows(kept):
+        assert share == pytest.approx(chance, abs=0.02)
+
+
+def test_mixing_odd_rows(spark):
+    data = [("a", "x", 10), ("a", None, 0), (None, "x", None), ("q", "y", 5)]
+    frame = spark.createDataFrame(data, "source string, lang string, tokens long")
+    targets = {"source": {"a": 0.5, "none of them": 0.5}, "lang": {"x": 1.0}}
+    found = raking.with_probability(frame, targets, tokens="tokens").collect()
+    assert len(found) == 4 and all(0 < r.probability <= 1 for r in found)
+    assert raking.with_probability(frame.filter("false"), targets, tokens="tokens").collect() == []
+    with pytest.raises(ValueError, match="cells"):
+        raking.with_probability(
+            frame, {c: {str(i): 1.0 for i in range(2000)} for c in ("source", "lang")}, tokens="tokens"
+        )
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, mark string"
+
+
+def corpus(spark):
+    base = " ".join(f"word{i}" for i in range(200))
+    near = base.replace("word100 ", "other ")
+    texts = [
+        (1, base), (2, base), (3, near), (4, None), (5, ""), (6, "12 34"), (7, "a token=abcdef99 b"),
+        (7, "a token=abcdef99 b"), (None, "nobody knows this text"), (8, "quite another text here"),
+    ]
+    data = [(i, t, "en" if i != 8 else None, "src1", len(t or ""), "m") for i, t in texts]
+    return spark.createDataFrame(data, DOCUMENTS)
+
+
+def test_stages_on_odd_documents(spark):
+    documents = corpus(spark)
+    _, identify = corpus_pipeline.STAGES[0]
+    known = identify(spark, documents, SMALL)
+    assert known.columns == documents.columns
+    order = lambda pair: (pair[0] is None, pair[0] or 0)
+    kept = sorted(rows(known, "doc_id", "lang"), key=order)
+    assert [i for i, _ in kept] == [1, 2, 3, 7, 7, 8, None]
+    assert all(lang == "en" for _, lang in kept)
+    once = corpus_pipeline.drop_near_copies(spark, known, SMALL)
+    assert once.columns == documents.columns
+    assert sorted(rows(once, "doc_id"), key=order) == [(1,), (7,), (8,), (None,)]
+    masked = corpus_pipeline.mask_secrets(spark, once, SMALL)
+    assert rows(masked.filter("doc_id = 7"), "text", "n_chars") == [("a [SECRET] b", 12)]
+    assert masked.exceptAll(once).count() == 1
+    mixed = corpus_pipeline.mix_sources(spark, masked, SMALL)
+    assert mixed.columns == documents.columns and mixed.exceptAll(masked).isEmpty()
+    encoded = corpus_pipeline.encode_tokens(spark, masked, SMALL)
+    assert encoded.count() == 4
+
+
+def test_stages_on_no_documents(spark):
+    documents = corpus(spark).filter("false")
+    for _, stage in corpus_pipeline.STAGES:
+        found = stage(spark, documents, SMALL)
+        assert found.count() == 0
+
+
+def test_the_pipeline_equals_its_steps_one_by_one(spark):
+    table = spark.read.parquet(f"{SMALL}/documents.parquet")
+    profiles = queries.learned_language(table)
+    left = {r.doc_id: r for r in table.collect() if profiles.predict(r.text)[0] != "und"}
+    prints = {}
+    for i, row in left.items():
+        words = simhash.fingerprint(row.text, corpus_pipeline.SHINGLE, corpus_pipeline.PRINT_WORDS)
+        prints[i] = sum(word << 64 * w for w, word in enumerate(words))
+    groups = plain_groups(prints, corpus_pipeline.PRINT_BITS)
+    once = corpus_pipeline.drop_near_copies(
+        spark, corpus_pipeline.identify_language(spark, table, SMALL), SMALL
+    )
+    found = {i for (i,) in rows(once, "doc_id")}
+    # Links that need more than one bit in every segment may be missed, none is invented.
+    assert {i for i, root in groups.items() if i == root} <= found
+    assert len(found) <= len(set(groups.values())) + 2
+    ran = corpus_pipeline.run(spark, SMALL)
+    assert {i for (i,) in rows(ran, "doc_id")} <= found
+    assert ran.count() == ran.select("doc_id").distinct().count() > 0
