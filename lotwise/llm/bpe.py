@@ -143,20 +143,33 @@ def encoder(path: str) -> TextEncoder:
 
 
 def encode_documents(
-    documents: DataFrame, vocabulary_path: str, *, text: str = "text", into: str = "token_ids"
+    documents: DataFrame,
+    vocabulary_path: str,
+    *,
+    text: str = "text",
+    into: str = "token_ids",
+    decoded_into: str | None = None,
 ) -> DataFrame:
-    """Add the ids of each text, as little-endian unsigned 32-bit integers.
+    """Add the ids of each text, as little-endian unsigned 32-bit integers; under
+    ``decoded_into``, if named, also the text decoded from them.
 
     Special tokens inside a text count as such; none is added."""
-    return _with_column(
-        documents,
-        into,
-        T.BinaryType(),
-        pa.binary(),
-        text,
-        lambda: encoder(vocabulary_path),
-        "",
-    )
+
+    def make():
+        encode, decode = encoder(vocabulary_path), vocabulary(vocabulary_path).decode
+        if decoded_into is None:
+            return lambda value: (encode(value or ""),)
+
+        def both(value):
+            ids = encode(value or "")
+            return ids, decode(ids)
+
+        return both
+
+    new = {into: T.BinaryType()}
+    if decoded_into is not None:
+        new[decoded_into] = T.StringType()
+    return _with_columns(documents, new, text, make)
 
 
 def decode_documents(
@@ -164,35 +177,39 @@ def decode_documents(
 ) -> DataFrame:
     """Add the text of each row's ids; special tokens are spelt out, and bytes that
     are no UTF-8 become replacement characters."""
-    return _with_column(
-        documents,
-        into,
-        T.StringType(),
-        pa.string(),
-        ids,
-        lambda: vocabulary(vocabulary_path).decode,
-        b"",
-    )
-
-
-def _with_column(frame, into, spark_type, arrow_type, source, make, empty):
-    kept = [name for name in frame.columns if name.lower() != into.lower()]
+
+    def make():
+        decode = vocabulary(vocabulary_path).decode
+        return lambda value: (decode(value or b""),)
+
+    return _with_columns(documents, {into: T.StringType()}, ids, make)
+
+
+ARROW = {T.BinaryType(): pa.binary(), T.StringType(): pa.string()}
+
+
+def _with_columns(frame, new, source, make):
+    """Add columns (name: type) computed from one column, in pieces of bounded size."""
+    taken = {name.lower() for name in new}
+    kept = [name for name in frame.columns if name.lower() not in taken]
     place = kept.index(source)
 
     def run(incoming):
         convert = make()
         for batch in incoming:
-            for start, piece in _slices(batch, place):
-                values = [convert(v.as_py() or empty) for v in piece.column(place)]
-                columns = [*piece.columns, pa.array(values, arrow_type)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*kept, into])
-
-    schema = T.StructType([*frame.select(*kept).schema.fields, T.StructField(into, spark_type)])
+            for piece in _slices(batch):
+                columns = zip(*(convert(value.as_py()) for value in piece.column(place)))
+                made = [pa.array(list(c), ARROW[kind]) for c, kind in zip(columns, new.values())]
+                arrays = [*piece.columns, *made]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *new])
+
+    fields = [T.StructField(name, kind) for name, kind in new.items()]
+    schema = T.StructType([*frame.select(*kept).schema.fields, *fields])
     return frame.select(*kept).mapInArrow(run, schema)
 
 
-def _slices(batch: pa.RecordBatch, place: int):
+def _slices(batch: pa.RecordBatch):
     """Pieces of a batch of which each has few rows or little text."""
     rows = max(1, min(512, batch.num_rows * shared.BATCH_BYTES // (1 + batch.nbytes)))
     for start in range(0, batch.num_rows, rows):
-        yield start, batch.slice(start, rows)
+        yield batch.slice(start, rows)

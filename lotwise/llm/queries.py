@@ -68,9 +68,8 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_digests(documents: DataFrame) -> DataFrame:
     """Ids of each document, and digests of them and of the text decoded from them."""
-    encoded = bpe.encode_documents(documents, vocabulary_path()).drop("text")
-    decoded = bpe.decode_documents(encoded, vocabulary_path())
-    return decoded.select(
+    encoded = bpe.encode_documents(documents, vocabulary_path(), decoded_into="decoded")
+    return encoded.select(
         "doc_id",
         F.floor(F.length("token_ids") / 4).alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),
