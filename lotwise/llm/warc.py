@@ -66,8 +66,10 @@ RECORD_FIELDS = pa.schema(
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded, repeatable sample of pages; empty if they are too few."""
     start = F.substring(F.coalesce("html", F.lit("")), 1, SAMPLE_CHARS)
-    sample = pages.select(F.xxhash64("page_id", "url").alias("h"), start.alias("html"))
-    rows = sample.orderBy("h", "html").limit(SAMPLE_PAGES).collect()
+    mark = F.xxhash64("page_id", "url")
+    least = pages.select(mark.alias("h")).orderBy("h").limit(SAMPLE_PAGES)
+    cut = least.agg(F.max("h")).first()[0]
+    rows = pages.filter(mark <= F.lit(cut)).select(start.alias("html")).limit(SAMPLE_PAGES).collect()
     texts = [row["html"].encode("utf-8", "surrogatepass") for row in rows if row["html"]]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
