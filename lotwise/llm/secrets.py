@@ -14,6 +14,7 @@ from __future__ import annotations
 import functools
 import json
 import re
+from bisect import bisect_left
 from math import log10
 
 import pyarrow as pa
@@ -46,6 +47,9 @@ CONTEXT = re.compile(
 # A value is a secret if guessing it takes ten to this power of guesses.
 MIN_GUESSES = 10.0
 
+# What stands in the place of a secret.
+MASK = "[SECRET]"
+
 # The rows of a keyboard, unshifted and shifted.
 KEYBOARD = ["`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./"]
 SHIFTED = ["~!@#$%^&*()_+", "QWERTYUIOP{}|", 'ASDFGHJKL:"', "ZXCVBNM<>?"]
@@ -190,15 +194,38 @@ def find(text: str, words: dict[str, float], min_guesses: float = MIN_GUESSES) -
             if len(m.group(2)) >= ASSIGN_VALUE
         ]
     if any(name in low for name in CONTEXT_NAMES):
-        base = sorted(span[1:] for span in spans)
+        starts, ends = _merged(spans)
         for m in CONTEXT.finditer(text):
             start, end = m.span(1)
-            covered = any(a < end and start < b for a, b in base)
+            before = bisect_left(starts, end)
+            covered = before > 0 and ends[before - 1] > start
             if not covered and guess_cost(m.group(1), words) >= min_guesses:
                 spans.append(("guess", start, end))
     return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0])))
 
 
+def _merged(spans: list[tuple]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover, in order."""
+    starts, ends = [], []
+    for start, end in sorted(span[1:] for span in spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def masked(text: str, spans: list[tuple], mask: str = MASK) -> str:
+    """The text with every span replaced by a mask; spans that overlap become one."""
+    out, at = [], 0
+    for _, start, end in spans:
+        if start >= at:
+            out += [text[at:start], mask]
+        at = max(at, end)
+    return "".join([*out, text[at:]])
+
+
 SPANS = T.ArrayType(
     T.StructType(
         [
@@ -218,25 +245,35 @@ def find_secrets(
     *,
     text: str = "text",
     into: str = "secrets",
+    masked_into: str | None = None,
     words_path: str | None = None,
     min_guesses: float = MIN_GUESSES,
 ) -> DataFrame:
-    """Add an array of (kind, start, end) to each document."""
-    kept = [name for name in documents.columns if name.lower() != into.lower()]
+    """Add an array of (kind, start, end) to each document; under ``masked_into``, if
+    named, also the text with a mask in place of each (null stays null)."""
+    new = {into: SPANS} | ({masked_into: T.StringType()} if masked_into else {})
+    taken = {name.lower() for name in new}
+    kept = [name for name in documents.columns if name.lower() not in taken]
     place = kept.index(text)
 
     def run(incoming):
         words = ranked_words(words_path)
         for batch in incoming:
-            values = [
-                [dict(zip(("kind", "start", "end"), s)) for s in find(v.as_py() or "", words, min_guesses)]
-                for v in batch.column(place)
-            ]
-            columns = [*batch.columns, pa.array(values, ARROW_SPANS)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, into])
+            found, clean = [], []
+            for value in batch.column(place):
+                content = value.as_py()
+                spans = find(content or "", words, min_guesses)
+                found.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
+                if masked_into:
+                    clean.append(masked(content, spans) if spans else content)
+            made = [pa.array(found, ARROW_SPANS)]
+            if masked_into:
+                made.append(pa.array(clean, pa.string()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*kept, *new])
 
     frame = documents.select(*kept)
-    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField(into, SPANS)]))
+    fields = [T.StructField(name, kind) for name, kind in new.items()]
+    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, *fields]))
 
 
 def spelled(spans: Column) -> Column:
@@ -247,28 +284,3 @@ def spelled(spans: Column) -> Column:
         ),
         ",",
     )
-
-
-def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every span replaced by a mask; spans that overlap become one."""
-    state = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-
-    def step(held, span):
-        between = F.substring(text, (held["at"] + 1).cast("int"), (span["start"] - held["at"]).cast("int"))
-        return F.when(
-            span["start"] >= held["at"],
-            F.struct(
-                F.concat(held["out"], between, F.lit(mask)).alias("out"), span["end"].alias("at")
-            ),
-        ).otherwise(
-            F.struct(
-                held["out"].alias("out"), F.greatest(held["at"], span["end"]).alias("at")
-            )
-        )
-
-    def finish(held):
-        return F.concat(held["out"], F.substring(text, (held["at"] + 1).cast("int"), F.length(text)))
-
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, state, step, finish))
-
-
