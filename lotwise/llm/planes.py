@@ -40,6 +40,9 @@ BYTE_PLANES = 4
 BIT_PLANES = 32
 LEVEL = 3
 
+# Pieces of text whose ids a worker remembers, about 200 bytes each.
+KEPT_PIECES = 800_000
+
 MANIFEST = "shard long, path string, documents long, ids long, stored_bytes long"
 DOCUMENTS = "doc_id long, start long, n_tokens long, ids binary"
 
@@ -193,7 +196,7 @@ def library_encoder(tokenizer_path: str) -> TextEncoder:
         ids = tokenizer.encode(run, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    return TextEncoder(encode, special)
+    return TextEncoder(encode, special, KEPT_PIECES)
 
 
 def write_shards(

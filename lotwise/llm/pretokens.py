@@ -20,23 +20,29 @@ PATTERN = regex.compile(
 )
 LOOSE_SPACE = regex.compile(rf" (?:[{SPACE}]|\Z)")
 
-# Pieces longer than this are not remembered; a full memory starts anew.
+# Pieces longer than this are not remembered. A memory holds so many pieces in two
+# halves; when the newer is full, the older is given up.
 LONGEST_KEPT = 64
 KEPT_PIECES = 120_000
 
 
 class PieceMemory(dict):
-    """Ids of pieces, computed when a piece is first met."""
+    """Ids of pieces, computed when a piece is first met. Pieces that keep coming back
+    move from the older half to the newer, so they stay remembered."""
 
     def __init__(self, encode_piece: Callable[[str], bytes], room: int = KEPT_PIECES):
         super().__init__()
         self.encode_piece = encode_piece
-        self.room = room
+        self.half = max(1, room // 2)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.encode_piece(piece)
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.encode_piece(piece)
         if len(piece) <= LONGEST_KEPT:
-            if len(self) >= self.room:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -49,10 +55,15 @@ class TextEncoder:
     strings of special tokens to ids; the leftmost, then longest, one wins.
     """
 
-    def __init__(self, encode_run: Callable[[str], bytes], special: dict[str, int]):
+    def __init__(
+        self,
+        encode_run: Callable[[str], bytes],
+        special: dict[str, int],
+        room: int = KEPT_PIECES,
+    ):
         self.encode_run = encode_run
         self.first = PieceMemory(encode_run)
-        self.after_space = PieceMemory(lambda piece: encode_run(" " + piece))
+        self.after_space = PieceMemory(lambda piece: encode_run(" " + piece), room)
         self.special = {text: i.to_bytes(4, "little") for text, i in special.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, longest_first))) if special else None

@@ -121,3 +121,13 @@ def test_queries_equal_the_library(spark, library):
     assert {r[0]: tuple(r[1:]) for r in queries.op1_id_planes(spark, SMALL).collect()} == crc
     found = {r.doc_id: r.n_tokens for r in queries.op3_bpe(spark, SMALL).collect()}
     assert found == {i: len(ids) for i, ids in expected.items()}
+
+
+def test_a_memory_keeps_what_comes_back_and_stays_small():
+    met = []
+    memory = pretokens.PieceMemory(lambda piece: met.append(piece) or piece.encode(), room=8)
+    for i in range(50):
+        assert memory[f"p{i}"] == f"p{i}".encode() and memory["again"] == b"again"
+        assert len(memory) + len(memory.older) <= 8
+    assert met.count("again") == 1 and len(met) == 51
+    assert memory["x" * 100] == b"x" * 100 and "x" * 100 not in memory
