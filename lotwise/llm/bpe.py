@@ -22,22 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lotwise.llm import shared
-from lotwise.llm.pretokens import KEPT_PIECES, PATTERN, TextEncoder
+from lotwise.llm.pretokens import TextEncoder, byte_letters
 
 SHORT_WORD = 96
 NO_MERGE = 1 << 40
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in byte-level vocabulary files.
-
-    Printable Latin-1 bytes stand for themselves, the others for the letters
-    from code point 256 on, in order."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(printable)]
-    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 class Vocabulary:
     """Merges and tokens of a byte-level BPE vocabulary file."""
 
@@ -124,20 +114,9 @@ def vocabulary(path: str) -> Vocabulary:
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> TextEncoder:
     words = vocabulary(path)
-    known: dict[str, bytes] = {}
-
-    def encode(run: str) -> bytes:
-        out = []
-        for word in PATTERN.findall(run):
-            ids = known.get(word)
-            if ids is None:
-                ids = np.array(words.merge_word(word.encode("utf-8")), "<u4").tobytes()
-                if len(word) <= SHORT_WORD // 4:
-                    if len(known) >= KEPT_PIECES:
-                        known.clear()
-                    known[word] = ids
-            out.append(ids)
-        return b"".join(out)
+
+    def encode(piece: str) -> bytes:
+        return np.array(words.merge_word(piece.encode("utf-8")), "<u4").tobytes()
 
     return TextEncoder(encode, words.special)
 

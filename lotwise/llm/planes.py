@@ -20,6 +20,7 @@ from __future__ import annotations
 import functools
 import json
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.llm import shared
-from lotwise.llm.pretokens import TextEncoder
+from lotwise.llm.pretokens import TextEncoder, byte_letters
 from lotwise.operators.tables import stored
 
 # Fixed values of the format.
@@ -182,19 +183,23 @@ class ShardReader:
 
 @functools.lru_cache(maxsize=2)
 def library_encoder(tokenizer_path: str) -> TextEncoder:
-    """Whole texts as the tokenizers library encodes them, piece by piece.
+    """Whole texts as the tokenizers library encodes them: its model takes each piece.
 
     Special tokens inside a text count as such, as they do by default."""
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+    pieces = tokenizer.pre_tokenizer
+    if tokenizer.normalizer or not isinstance(pieces, ByteLevel) or pieces.add_prefix_space:
+        raise ValueError("a byte-level tokenizer without normalizing or a leading space is needed")
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+    letter_of = {byte: letter for letter, byte in byte_letters().items()}
+    tokenize = tokenizer.model.tokenize
 
-    def encode(run: str) -> bytes:
-        ids = tokenizer.encode(run, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+    def encode(piece: str) -> bytes:
+        letters = piece.encode("utf-8").decode("latin-1").translate(letter_of)
+        return array("I", [token.id for token in tokenize(letters)]).tobytes()
 
     return TextEncoder(encode, special, KEPT_PIECES)
 

@@ -26,6 +26,16 @@ LONGEST_KEPT = 64
 KEPT_PIECES = 120_000
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in byte-level vocabulary files.
+
+    Printable Latin-1 bytes stand for themselves, the others for the letters
+    from code point 256 on, in order."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
 class PieceMemory(dict):
     """Ids of pieces, computed when a piece is first met. Pieces that keep coming back
     move from the older half to the newer, so they stay remembered."""
@@ -51,23 +61,33 @@ class PieceMemory(dict):
 class TextEncoder:
     """Ids of whole texts, as little-endian unsigned 32-bit integers.
 
-    ``encode_run`` encodes text without special tokens. ``special`` maps the
-    strings of special tokens to ids; the leftmost, then longest, one wins.
+    ``encode_piece`` encodes one piece of text as the pattern cuts it. A word with
+    signs around it is put together from its pieces, so that a word is encoded once
+    however it is punctuated. ``special`` maps the strings of special tokens to ids;
+    the leftmost, then longest, one wins.
     """
 
     def __init__(
         self,
-        encode_run: Callable[[str], bytes],
+        encode_piece: Callable[[str], bytes],
         special: dict[str, int],
         room: int = KEPT_PIECES,
     ):
-        self.encode_run = encode_run
-        self.first = PieceMemory(encode_run)
-        self.after_space = PieceMemory(lambda piece: encode_run(" " + piece), room)
+        self.encode_piece = encode_piece
+        self.first = PieceMemory(self._run)
+        self.after_space = PieceMemory(lambda run: self._run(" " + run), room)
         self.special = {text: i.to_bytes(4, "little") for text, i in special.items()}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = regex.compile("|".join(map(regex.escape, longest_first))) if special else None
 
+    def _run(self, run: str) -> bytes:
+        pieces = PATTERN.findall(run)
+        if len(pieces) == 1:
+            return self.encode_piece(run)
+        return b"".join(
+            self.after_space[p[1:]] if p[0] == " " and len(p) > 1 else self.first[p] for p in pieces
+        )
+
     def __call__(self, text: str) -> bytes:
         if self.cut is None or not self.cut.search(text):
             return self._plain(text)
