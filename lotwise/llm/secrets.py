@@ -14,7 +14,8 @@ from __future__ import annotations
 import functools
 import json
 import re
-from bisect import bisect_left
+from bisect import bisect_right
+from itertools import accumulate
 from math import log10
 
 import pyarrow as pa
@@ -194,26 +195,21 @@ def find(text: str, words: dict[str, float], min_guesses: float = MIN_GUESSES) -
             if len(m.group(2)) >= ASSIGN_VALUE
         ]
     if any(name in low for name in CONTEXT_NAMES):
-        starts, ends = _merged(spans)
+        starts, reached = _reached(spans)
         for m in CONTEXT.finditer(text):
             start, end = m.span(1)
-            before = bisect_left(starts, end)
-            covered = before > 0 and ends[before - 1] > start
+            before = bisect_right(starts, start)
+            covered = before > 0 and reached[before - 1] >= end
             if not covered and guess_cost(m.group(1), words) >= min_guesses:
                 spans.append(("guess", start, end))
     return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0])))
 
 
-def _merged(spans: list[tuple]) -> tuple[list[int], list[int]]:
-    """Starts and ends of the stretches that spans cover, in order."""
-    starts, ends = [], []
-    for start, end in sorted(span[1:] for span in spans):
-        if ends and start <= ends[-1]:
-            ends[-1] = max(ends[-1], end)
-        else:
-            starts.append(start)
-            ends.append(end)
-    return starts, ends
+def _reached(spans: list[tuple]) -> tuple[list[int], list[int]]:
+    """Starts in order, and how far any span that starts there or before reaches."""
+    ordered = sorted(span[1:] for span in spans)
+    ends = accumulate((end for _, end in ordered), max)
+    return [start for start, _ in ordered], list(ends)
 
 
 def masked(text: str, spans: list[tuple], mask: str = MASK) -> str:

@@ -172,3 +172,15 @@ def test_found_secrets(spark):
     assert clean[0] is None and clean[3] == texts[3]
     assert clean[4] == '[SECRET]"' and clean[11] == "é [SECRET]" and clean[12] == "passphrase is [SECRET]"
     assert secrets.find_secrets(frame.filter("false")).collect() == []
+
+
+def test_a_value_that_a_pattern_covers_in_part_is_scored_whole():
+    text = "password: Tr0ub4dor&3$kL9qzV!x end"
+    spans = secrets.find(text, WORDS)
+    assert spans == [("assign", 0, 19), ("guess", 10, 30)]
+    assert secrets.masked(text, spans) == "[SECRET] end"
+    # A span inside the value, one that ends with it, and one that covers it whole.
+    inside = "passphrase=xK9$" + "0a" * 12 + "!mZ7vQ2"
+    assert secrets.masked(inside, secrets.find(inside, WORDS)) == "passphrase=[SECRET]"
+    within = [s for s in secrets.find("token=xK9vQ2mZ7pL4tR8w", WORDS) if s[0] == "guess"]
+    assert within == []
