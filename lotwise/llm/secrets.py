@@ -36,12 +36,26 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 NAMES = ["password", "passwd", "secret", "token", "apikey", "api_key"]
 
-# Contexts that announce a credential, and the shortest value worth a look.
-CONTEXT_NAMES = [*NAMES, "passphrase", "passcode", "pwd", "credential", "private key", "auth"]
+# Contexts that announce a credential, and the shortest value worth a look. A name
+# may carry a suffix, as in secret_access_key. Each form is listed with a lower-case
+# stem that stands in all its matches; without any stem in a text, none is looked for.
+CONTEXT_FORMS = {
+    "pass": r"pass(?:word|wd|phrase|code)",
+    "pwd": r"pwd",
+    "secret": r"secret",
+    "token": r"token",
+    "api": r"api[_ -]?key",
+    "credential": r"credentials?",
+    "private": r"private[_ -]key",
+    "auth": r"auth(?:orization)?",
+}
+CONTEXT_SUFFIX = (
+    r"(?:[_ -](?:access|api|auth|client|encryption|master|private|secret|shared|signing)){0,3}"
+    r"[_ -](?:key|token|secret|value|password)"
+)
 CONTEXT = re.compile(
-    r"(?i:(?<![a-z])(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_ -]?key|credentials?"
-    r"|private[_ ]key|auth(?:orization)?))[\"']?\x20*(?::=|=>|[:=]|\x20is\x20)\x20*[\"']?"
-    r"([^\s\"'<>(),;]{8,})",
+    rf"(?i:(?<![a-z])(?:{'|'.join(CONTEXT_FORMS.values())})(?:{CONTEXT_SUFFIX})?)"
+    r"[\"']?\x20*(?::=|=>|[:=]|\x20is\x20)\x20*[\"']?([^\s\"'<>(),;]{8,})",
     re.ASCII,
 )
 
@@ -194,7 +208,7 @@ def find(text: str, words: dict[str, float], min_guesses: float = MIN_GUESSES) -
             for m in ASSIGN.finditer(text)
             if len(m.group(2)) >= ASSIGN_VALUE
         ]
-    if any(name in low for name in CONTEXT_NAMES):
+    if any(stem in low for stem in CONTEXT_FORMS):
         starts, reached = _reached(spans)
         for m in CONTEXT.finditer(text):
             start, end = m.span(1)

@@ -184,3 +184,24 @@ def test_a_value_that_a_pattern_covers_in_part_is_scored_whole():
     assert secrets.masked(inside, secrets.find(inside, WORDS)) == "passphrase=[SECRET]"
     within = [s for s in secrets.find("token=xK9vQ2mZ7pL4tR8w", WORDS) if s[0] == "guess"]
     assert within == []
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "password", "passwd", "passphrase", "passcode", "pwd", "secret", "token", "apikey", "api_key",
+        "api-key", "api key", "x-api-key", "credential", "credentials", "private_key", "private key",
+        "private-key", "auth", "Authorization", "aws_secret_access_key", "secret_key", "auth_token",
+    ],
+)
+def test_each_context_is_found_alone(name):
+    for separator in ("=", ": ", " := ", " => ", " is "):
+        text = f"x {name}{separator}9f$2mQ7xLp0Zr4TwBv y"
+        spans = secrets.find(text, WORDS)
+        assert ("guess", text.index("9f"), len(text) - 2) in spans
+        assert "Zr4TwBv" not in secrets.masked(text, spans)
+
+
+def test_a_context_needs_a_whole_name():
+    for text in ("compass = 9f$2mQ7xLp0Zr4TwBv", "token count = 9f$2mQ7xLp0Zr4TwBv", "apiary: 9f$2mQ7xLp0Zr4TwBv"):
+        assert secrets.find(text, WORDS) == []
