@@ -288,3 +288,24 @@ def test_the_pipeline_equals_its_steps_one_by_one(spark):
     ran = corpus_pipeline.run(spark, SMALL)
     assert {i for (i,) in rows(ran, "doc_id")} <= found
     assert ran.count() == ran.select("doc_id").distinct().count() > 0
+
+
+def test_near_copies_equal_all_pairs(spark):
+    """Lone pairs at 0.75 to 0.95 by brute force: each alike enough is found, no other."""
+    draw = np.random.default_rng(5)
+    word = lambda: f"w{draw.integers(10**9)}"
+    texts, alike = [], {}
+    for pair in range(240):
+        size = int(draw.integers(30, 400))
+        base = [word() for _ in range(size)]
+        changed = list(base)
+        for place in draw.choice(size, max(1, int(size * draw.uniform(0.004, 0.03))), replace=False):
+            changed[place] = word()
+        sets = [{tuple(t[i : i + 5]) for i in range(size - 4)} for t in (base, changed)]
+        alike[pair] = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+        texts += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(changed))]
+    assert sum(0.8 <= j < 0.9 for j in alike.values()) > 40
+    assert sum(j < 0.8 for j in alike.values()) > 20
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = {i for (i,) in rows(corpus_pipeline.drop_near_copies(spark, frame, SMALL), "doc_id")}
+    assert kept == {2 * p for p in alike} | {2 * p + 1 for p, j in alike.items() if j < 0.8}
