@@ -309,3 +309,22 @@ def test_near_copies_equal_all_pairs(spark):
     frame = spark.createDataFrame(texts, "doc_id long, text string")
     kept = {i for (i,) in rows(corpus_pipeline.drop_near_copies(spark, frame, SMALL), "doc_id")}
     assert kept == {2 * p for p in alike} | {2 * p + 1 for p, j in alike.items() if j < 0.8}
+
+
+def test_a_rare_value_does_not_shrink_the_sample():
+    cells = [("a", "x", 5000), ("a", "y", 4000), ("b", "x", 900), ("b", "y", 99), ("c", "y", 1)]
+    tokens = np.array([c[-1] for c in cells], float)
+    even = {"one": {"a": 0.6, "b": 0.3, "c": 0.1}, "two": {"x": 0.5, "y": 0.5}}
+    chance = raking.keep_chances(cells, even)
+    kept = tokens * chance
+    assert kept.sum() / tokens.sum() == pytest.approx(raking.LEAST_KEPT, rel=1e-3)
+    assert chance.max() <= 1 and chance[4] == 1 and chance[:2].min() > 0.02
+    # Where the targets can be met, they are, by the largest sample that meets them.
+    fair = {"one": {"a": 0.8, "b": 0.2}, "two": {"x": 0.6, "y": 0.4}}
+    chance = raking.keep_chances(cells[:4], fair)
+    kept = tokens[:4] * chance
+    assert kept[2:].sum() / kept.sum() == pytest.approx(0.2, rel=1e-5)
+    assert (kept[0] + kept[2]) / kept.sum() == pytest.approx(0.6, rel=1e-5)
+    assert kept[2:].sum() == pytest.approx(999, rel=1e-4) and chance.max() == 1
+    factors = raking.fit(cells[:4], fair)
+    assert kept.sum() > 1.1 * (tokens[:4] * factors / factors.max()).sum()
