@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lotwise.llm import (
     bpe,
+    fim,
     hnsw,
     language,
     planes,
@@ -169,6 +170,20 @@ def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table_of(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fim.fill_in_middle(documents)
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(fim.restored(), "UTF-8"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_id_planes": op1_id_planes,
     "op2_url_cascade": op2_url_cascade,
@@ -180,6 +195,7 @@ QUERIES = {
     "op8_threshold": op8_threshold,
     "op9_language": op9_language,
     "op10_raking": op10_raking,
+    "op13_fim": op13_fim,
 }
 
 ORACLES = {
@@ -240,5 +256,32 @@ ranked as (
     vec_id, score
   from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
+""",
+    "op13_fim": r"""
+with cut as (
+  select doc_id, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units,
+    sha256('1:' || coalesce(cast(doc_id as varchar), '')) as digest
+  from documents),
+drawn as (
+  select *, len(units) as n,
+    cast('0x' || substr(digest, 1, 8) as bigint) as h1, cast('0x' || substr(digest, 9, 8) as bigint) as h2,
+    cast('0x' || substr(digest, 17, 8) as bigint) as h3, cast('0x' || substr(digest, 25, 8) as bigint) as h4
+  from cut),
+parts as (
+  select *, array_to_string(units[1:least(h1 % (n + 1), h2 % (n + 1))], '') as prefix,
+    array_to_string(units[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], '')
+      as middle,
+    array_to_string(units[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:n], '') as suffix,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+      or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+  case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text
+    when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
 """,
 }

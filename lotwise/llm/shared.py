@@ -67,6 +67,14 @@ def batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch
         yield _batch(held, schema)
 
 
+def byte_slices(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``limit`` bytes, at least one row each."""
+    per_row = max(1, batch.nbytes // max(1, batch.num_rows))
+    step = max(1, limit // per_row)
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = zip(*rows)
     arrays = [pa.array(list(values), kind) for values, kind in zip(columns, schema.types)]
