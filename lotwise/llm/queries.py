@@ -5,9 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lotwise.llm import (
     bpe,
+    collocations,
     fim,
     hnsw,
     language,
@@ -34,6 +36,7 @@ REVISIT_BYTES = 1000
 LINK_SHINGLE, LINK_BITS = 3, 2
 EVERY, TOP = 50, 5
 FOLDS = 5
+LEAST_COUNT, LONGEST, HELD_PERCENT, LISTED = 30, 4, 80, 2000
 
 # Targets of the mix: shares of tokens. Values not named keep their own share.
 TARGETS = {
@@ -170,6 +173,16 @@ def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table_of(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = collocations.collocations(
+        documents, least=LEAST_COUNT, longest=LONGEST, percent=HELD_PERCENT
+    )
+    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= LISTED)
+    return ranked.select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table_of(spark, sf_dir, "documents").select("doc_id", "text")
     made = fim.fill_in_middle(documents)
@@ -195,6 +208,7 @@ QUERIES = {
     "op8_threshold": op8_threshold,
     "op9_language": op9_language,
     "op10_raking": op10_raking,
+    "op12_collocations": op12_collocations,
     "op13_fim": op13_fim,
 }
 
@@ -256,6 +270,47 @@ ranked as (
     vec_id, score
   from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
+""",
+    "op12_collocations": r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+sized as (select lang, w, unnest([1, 2, 3, 4]) as size from words),
+runs as (
+  select lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+    lambda i: array_to_string(w[i:i + size - 1], ' '))) as phrase
+  from sized where len(w) >= size),
+counted as materialized (
+  select lang, size, phrase, lang || ':' || phrase as name, count(*) as a from runs group by all),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+cuts as (
+  select c.*, string_split(phrase, ' ') as w, k.k
+  from counted c join (values (1), (2), (3)) k(k) on k.k < c.size
+  where c.a >= 30 and c.size >= 2),
+weighed as (
+  select c.lang, c.size, c.phrase, c.a, c.k, l.a as l, r.a as r,
+    cast((2000000::hugeint * c.a) // (l.a::hugeint + r.a) as bigint) as score
+  from cuts c join counted l on l.name = c.lang || ':' || array_to_string(c.w[1:c.k], ' ')
+    join counted r on r.name = c.lang || ':' || array_to_string(c.w[c.k + 1:c.size], ' ')),
+best as materialized (
+  select * from weighed
+  qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inner_runs as (
+  select b.lang, b.a, array_to_string(list_slice(string_split(b.phrase, ' '), i.i, i.i + k.k - 1), ' ')
+    as phrase
+  from best b join (values (2), (3)) k(k) on k.k < b.size
+    join (values (1), (2), (3)) i(i) on i.i + k.k - 1 <= b.size),
+longer as (select lang, phrase, max(a) as most from inner_runs group by lang, phrase),
+kept as (
+  select b.* from best b left join longer x on x.lang = b.lang and x.phrase = b.phrase
+  where x.most is null or 100::hugeint * x.most < 80::hugeint * b.a),
+ranked as (
+  select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank
+  from kept)
+select r.lang, rank, phrase, a, l, r, n, score
+from ranked r join totals t on t.lang = r.lang where rank <= 2000
 """,
     "op13_fim": r"""
 with cut as (
