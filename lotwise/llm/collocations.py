@@ -42,6 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.llm.filters import empty_filter, filled
 from lotwise.llm.shared import byte_slices, whole_text
 from lotwise.llm.url_rules import Level
 from lotwise.operators.tables import stored
@@ -56,7 +57,6 @@ UNKNOWN = "und"
 SAMPLE_PERCENT = 10
 LOWERED = 0.6
 FILTER_BYTES = 16 << 20
-FILTER_BITS_PER_PHRASE = 10
 CHUNK_BYTES = 8 << 20
 
 # Never part of UTF-8, so no text holds it: it stands between pieces.
@@ -198,37 +198,20 @@ def filters_of(phrases: DataFrame, longest: int) -> Filters:
     sizes = dict(phrases.groupBy("size").count().collect())
     made = []
     for size in range(1, longest):
-        inside = sizes.get(size, 0)
-        bits = min(8 * FILTER_BYTES, max(64, -(-inside * FILTER_BITS_PER_PHRASE // 64) * 64))
-        probes = min(7, max(1, round(0.69 * bits / max(1, inside))))
-        empty = Level(size, probes, bits, np.zeros(bits // 64, np.uint64))
-        made.append(_filled(empty, phrases.filter(F.col("size") == size)) if inside else empty)
+        empty = empty_filter(size, sizes.get(size, 0), FILTER_BYTES)
+        of_size = phrases.filter(F.col("size") == size).select("lang", "phrase")
+        made.append(filled(empty, of_size, _hashes_by_language) if sizes.get(size) else empty)
     return made
 
 
-def _filled(level: Level, phrases: DataFrame) -> Level:
-    """Bits set by tasks, combined by word; the driver gets the filter's words."""
-    schema = pa.schema([("word", pa.int64()), ("bits", pa.int64())])
-
-    def run(incoming):
-        for batch in incoming:
-            groups = defaultdict(list)
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                groups[lang].append(phrase.encode("utf-8", "surrogatepass").split(b" "))
-            for lang, some in groups.items():
-                h1, h2 = phrase_hashes([word_hashes([*part], lang) for part in zip(*some)])
-                at = np.unique(np.concatenate(level.positions(h1, h2)))
-                word, bit = at >> np.uint64(6), np.uint64(1) << (at & np.uint64(63))
-                first = np.flatnonzero(np.diff(word, prepend=word[:1] + np.uint64(1)))
-                columns = [word[first], np.bitwise_or.reduceat(bit, first)]
-                arrays = [pa.array(c.astype(np.int64)) for c in columns]
-                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-    parts = phrases.select("lang", "phrase").mapInArrow(run, "word long, bits long")
-    table = parts.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    full = np.zeros(level.bits // 64, np.uint64)
-    full[table["word"].to_numpy()] = table["bits"].to_numpy().astype(np.uint64)
-    return Level(level.number, level.probes, level.bits, full)
+def _hashes_by_language(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
+    groups = defaultdict(list)
+    for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        groups[lang].append(phrase.encode("utf-8", "surrogatepass").split(b" "))
+    return [
+        phrase_hashes([word_hashes([*part], lang) for part in zip(*some)])
+        for lang, some in groups.items()
+    ]
 
 
 def frequent_phrases(

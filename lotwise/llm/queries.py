@@ -15,6 +15,7 @@ from lotwise.llm import (
     language,
     planes,
     raking,
+    repeats,
     secrets,
     simhash,
     threshold,
@@ -36,6 +37,7 @@ REVISIT_BYTES = 1000
 LINK_SHINGLE, LINK_BITS = 3, 2
 EVERY, TOP = 50, 5
 FOLDS = 5
+WINDOW_WORDS = 20
 LEAST_COUNT, LONGEST, HELD_PERCENT, LISTED = 30, 4, 80, 2000
 
 # Targets of the mix: shares of tokens. Values not named keep their own share.
@@ -173,6 +175,13 @@ def op10_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table_of(spark, sf_dir, "documents").select("doc_id", "text")
+    found = repeats.without_repeats(documents, length=WINDOW_WORDS)
+    kept = F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_words", "n_removed", kept)
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table_of(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = collocations.collocations(
@@ -208,6 +217,7 @@ QUERIES = {
     "op8_threshold": op8_threshold,
     "op9_language": op9_language,
     "op10_raking": op10_raking,
+    "op11_repeats": op11_repeats,
     "op12_collocations": op12_collocations,
     "op13_fim": op13_fim,
 }
@@ -270,6 +280,23 @@ ranked as (
     vec_id, score
   from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5
+""",
+    "op11_repeats": r"""
+with cut as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (
+  select doc_id, unnest(range(1, len(w) - 18)) as i, w from cut where len(w) >= 20),
+spelled as (select doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) as s from windows),
+again as (
+  select doc_id, i from spelled qualify row_number() over (partition by s order by doc_id, i) > 1),
+lost as (select distinct doc_id, unnest(range(i, i + 20)) as place from again),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as place from cut),
+kept as (
+  select doc_id, string_agg(word, ' ' order by place) as kept, count(*) as n_kept
+  from words anti join lost using (doc_id, place) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n_kept, 0) as bigint) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from cut left join kept using (doc_id)
 """,
     "op12_collocations": r"""
 with pieces as (
