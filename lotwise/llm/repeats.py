@@ -207,15 +207,17 @@ def compacted(graph: DataFrame) -> DataFrame:
 
 def path_roots(pointers: DataFrame) -> DataFrame:
     """(piece, up, far): the first piece of the path and the edges up to it, for pieces
-    with one predecessor ``up`` that is ``far`` edges long. Pieces on a cycle are left
-    out: those that still move after enough rounds for any path."""
-    left = pointers.count()
-    for _ in range(left.bit_length() + 1):
+    with one predecessor ``up`` that is ``far`` edges long. Pieces on a cycle are left out.
+
+    As long as a path has pieces whose pointer moves, fewer do in each round; when as many
+    move as before, all of them are on cycles."""
+    before, moving = None, None
+    while moving != 0 and (before is None or moving != before):
         step = pointers.select(
             F.col("piece").alias("up"), F.col("up").alias("next"), F.col("far").alias("more")
         )
-        joined = pointers.join(step, "up", "left")
-        moved = stored(
+        joined = pointers.select("piece", "up", "far").join(step, "up", "left")
+        pointers = stored(
             joined.select(
                 "piece",
                 F.coalesce("next", "up").alias("up"),
@@ -223,10 +225,8 @@ def path_roots(pointers: DataFrame) -> DataFrame:
                 F.col("next").isNotNull().alias("moves"),
             )
         )
-        pointers = moved.drop("moves")
-        if moved.filter("moves").isEmpty():
-            break
-    return moved.filter("not moves").drop("moves") if left else pointers
+        before, moving = moving, pointers.filter("moves").count()
+    return pointers.filter("not moves").drop("moves")
 
 
 def spans_of(repeats: DataFrame) -> DataFrame:
