@@ -57,7 +57,7 @@ UNKNOWN = "und"
 SAMPLE_PERCENT = 10
 LOWERED = 0.6
 FILTER_BYTES = 16 << 20
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 
 # Never part of UTF-8, so no text holds it: it stands between pieces.
 MARK = b"\xff"
@@ -67,16 +67,11 @@ FOLDED = bytes.maketrans(
 )
 _FACTORS = np.random.default_rng(12).integers(0, 1 << 64, (2, 16), np.uint64) | np.uint64(1)
 
-COUNTS = "lang string, size int, phrase string, extended boolean, n long"
-_COUNTS = pa.schema(
-    [
-        ("lang", pa.string()),
-        ("size", pa.int32()),
-        ("phrase", pa.string()),
-        ("extended", pa.bool_()),
-        ("n", pa.int64()),
-    ]
-)
+# What a phrase is counted under, as one string, which is half as large in an aggregation
+# as its columns: whether it is extended (or a total), the length of the language's
+# name, a colon, that name, the phrase.
+PLAIN, EXTENDED, TOTAL = "012"
+COUNTS = "name string, n long"
 
 # One filter for each size of proposed phrases.
 Filters = list[Level]
@@ -164,7 +159,7 @@ def _numbered(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def pass_over(
     texts: DataFrame, *, longest: int, rounds: list[Filters], counted: list[Filters] | None
 ) -> DataFrame:
-    """(lang, size, phrase, extended, n) of one pass over texts (lang, text)."""
+    """(name, n) of one pass over texts (lang, text)."""
     held = texts.sparkSession.sparkContext.broadcast((rounds, counted))
 
     def run(incoming):
@@ -172,25 +167,37 @@ def pass_over(
         for whole in incoming:
             for batch in byte_slices(whole, CHUNK_BYTES):
                 groups = defaultdict(list)
-                for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    groups[lang].append(text.encode("utf-8", "surrogatepass"))
+                langs, bodies = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
+                for lang, text in zip(langs, bodies.to_pylist()):
+                    groups[lang].append(text)
                 for lang, some in groups.items():
+                    heads = pa.array([f"{kind}{len(lang)}:{lang}" for kind in (PLAIN, EXTENDED, TOTAL)])
                     found = count_phrases(some, lang, longest=longest, rounds=now, counted=then)
                     for size, phrases, extended, counts in found:
-                        n = len(phrases)
+                        head = heads.take(pa.array(extended.astype(np.int32) if size else [2]))
+                        names = pc.binary_join_element_wise(head, phrases.cast(pa.string()), "")
                         yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([lang] * n, pa.string()),
-                                pa.array(np.full(n, size), pa.int32()),
-                                phrases.cast(pa.string()),
-                                pa.array(extended),
-                                pa.array(counts, pa.int64()),
-                            ],
-                            schema=_COUNTS,
+                            [names, pa.array(counts, pa.int64())], names=["name", "n"]
                         )
+                pa.default_memory_pool().release_unused()
 
     parts = texts.select("lang", "text").mapInArrow(run, COUNTS)
-    return parts.groupBy("lang", "size", "phrase", "extended").agg(F.sum("n").alias("n"))
+    return parts.groupBy("name").agg(F.sum("n").alias("n"))
+
+
+def named_parts(counts: DataFrame) -> DataFrame:
+    """(lang, size, phrase, extended, n) of (name, n)."""
+    kind, colon = F.substring("name", 1, 1), F.instr("name", ":")
+    wide = F.expr("cast(substring(name, 2, instr(name, ':') - 2) as int)")
+    phrase = F.substring(F.col("name"), colon + 1 + wide, F.length("name"))
+    size = F.when(kind == TOTAL, F.lit(0)).otherwise(F.size(F.split(phrase, " ", -1)))
+    return counts.select(
+        F.substring(F.col("name"), colon + 1, wide).alias("lang"),
+        size.alias("size"),
+        phrase.alias("phrase"),
+        (kind != PLAIN).alias("extended"),
+        "n",
+    )
 
 
 def filters_of(phrases: DataFrame, longest: int) -> Filters:
@@ -229,15 +236,13 @@ def frequent_phrases(
     texts = documents.select(lang, whole_text().alias("text"), F.xxhash64("doc_id", "text").alias("draw"))
     sample = texts.filter(F.pmod("draw", F.lit(100)) < sample_percent)
     enough = max(1, round(least * sample_percent / 100 * lowered))
-    proposed = stored(
-        pass_over(sample, longest=longest - 1, rounds=[], counted=None)
-        .filter((F.col("size") > 0) & (F.col("n") >= enough))
-        .select("lang", "size", "phrase")
-    )
+    tried = pass_over(sample, longest=longest - 1, rounds=[], counted=None)
+    proposed = stored(named_parts(tried.filter(F.col("n") >= enough)).filter("size > 0"))
     rounds, counted, found = [filters_of(proposed, longest)], None, []
     while True:
         counts = pass_over(texts, longest=longest, rounds=rounds, counted=counted)
-        found.append(stored(counts.filter((F.col("size") == 0) | (F.col("n") >= least))))
+        listed = counts.filter((F.col("n") >= least) | F.col("name").startswith(TOTAL))
+        found.append(stored(named_parts(listed)))
         failures = found[-1].filter((F.col("size") < longest) & ~F.col("extended"))
         if failures.isEmpty():
             return reduce(DataFrame.union, found).drop("extended"), len(found)

@@ -47,6 +47,7 @@ from lotwise.llm.filters import empty_filter, filled
 from lotwise.llm.shared import byte_slices, whole_text
 from lotwise.llm.url_rules import Level
 from lotwise.operators.tables import stored
+from lotwise.session import new_folder, remove_folder
 
 # Signs between words.
 BLANKS = b" \t\n\v\f\r"
@@ -99,20 +100,36 @@ class Hashes:
         return self._summed(words, self.length - 1, 0)
 
     def windows(self, words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Where windows begin, the text of each, and place and hash of its least shingle."""
+        """Where windows begin, the text of each, the least shingle hash in each, and the
+        hashes of the shingles that are the least of some window."""
         sizes = np.diff(ends, prepend=0)
-        text = np.repeat(np.arange(len(sizes)), sizes)
         last = self.length - 1
         if len(words) < self.length:
-            return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
-        begins = np.flatnonzero(text[: len(text) - last] == text[last:])
+            return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        inside = text[: len(text) - last] == text[last:]
         mixed = self._summed(words, self.shingle, 1)
         mixed ^= mixed >> np.uint64(31)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(27)
-        seen = np.lib.stride_tricks.sliding_window_view(mixed, self.length - self.shingle + 1)
-        least = begins + seen.argmin(axis=1)[begins]
-        return begins, text[begins], least, mixed
+        width = self.length - self.shingle + 1
+        least = _sliding(np.minimum, mixed, width)
+        begins = np.flatnonzero(inside)
+        # A shingle is the least of a window if the largest least around it is its own.
+        around = np.zeros(len(least) + 2 * (width - 1), np.uint64)
+        around[width - 1 : width - 1 + len(least)][inside] = least[inside]
+        chosen = mixed[_sliding(np.maximum, around, width) == mixed]
+        return begins, text[begins], least[begins], chosen
+
+
+def _sliding(pick: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """The least or largest of every ``width`` neighbours, by doubling."""
+    reach = 1
+    while 2 * reach <= width:
+        values = pick(values[:-reach], values[reach:])
+        reach *= 2
+    rest = width - reach
+    return pick(values[: len(values) - rest], values[rest:]) if rest else values
 
 
 def _pair(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,13 +147,12 @@ def _chunks(incoming: Iterator[pa.RecordBatch], hashes: Hashes) -> Iterator[tupl
 
 
 def least_shingles(texts: DataFrame, hashes: Hashes) -> DataFrame:
-    """(value): one row for each shingle that is the least of a window."""
+    """(value): one row for each place of a shingle that is the least of a window."""
 
     def run(incoming):
         for _, ends, words in _chunks(incoming, hashes):
-            _, _, least, mixed = hashes.windows(words, ends)
-            values = mixed[np.unique(least)].view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(values)], names=["value"])
+            chosen = hashes.windows(words, ends)[-1].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(chosen)], names=["value"])
 
     return texts.select("base", "text").mapInArrow(run, "value long")
 
@@ -155,11 +171,12 @@ def edges(texts: DataFrame, hashes: Hashes, sieve: Level) -> DataFrame:
 
     def run(incoming):
         for bases, ends, words in _chunks(incoming, hashes):
-            begins, text, least, mixed = hashes.windows(words, ends)
+            begins, text, least, _ = hashes.windows(words, ends)
             if not len(begins):
                 continue
-            places, which = np.unique(least, return_inverse=True)
-            kept = held.value.passes(*_pair(mixed[places]))[which]
+            # Neighbouring windows mostly share their least shingle.
+            new = np.diff(least, prepend=~least[:1]) != 0
+            kept = held.value.passes(*_pair(least[new]))[np.cumsum(new) - 1]
             begins, text = begins[kept], text[kept]
             nodes = hashes.nodes(words).view(np.int64)
             starts = np.concatenate([[0], ends[:-1]])
@@ -312,7 +329,7 @@ def numbered_texts(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _cleaned(texts: DataFrame, spans: DataFrame, blocks: DataFrame, length: int) -> DataFrame:
-    """(base, n_words, n_removed, kept, digests) of texts (base, text)."""
+    """Texts with n_words, n_removed, kept and digests in place of base and text."""
     spot = [F.col(c).cast("int").alias(c) for c in ("start", "n")]
     removed = spans.select("base", F.struct(*spot).alias("span"), F.lit(None).alias("block"))
     compared = blocks.select("base", F.lit(None).alias("span"), F.struct(*spot, "source").alias("block"))
@@ -322,28 +339,29 @@ def _cleaned(texts: DataFrame, spans: DataFrame, blocks: DataFrame, length: int)
         .agg(F.collect_list("span").alias("spans"), F.collect_list("block").alias("blocks"))
     )
     found = "array<struct<source: long, n: int, digest: binary>>"
-    schema = f"base long, n_words long, n_removed long, kept string, digests {found}"
     kind = pa.list_(pa.struct([("source", pa.int64()), ("n", pa.int32()), ("digest", pa.binary())]))
-    names = ["base", "n_words", "n_removed", "kept", "digests"]
+    kept_columns = [c for c in texts.columns if c not in ("base", "text")]
+    types = [f"{c} {texts.schema[c].dataType.simpleString()}" for c in kept_columns]
+    schema = ", ".join([*types, f"n_words long, n_removed long, kept string, digests {found}"])
+    names = [*kept_columns, "n_words", "n_removed", "kept", "digests"]
 
     def run(incoming):
         for whole in incoming:
             for batch in byte_slices(whole):
-                texts = batch.column(1).cast(pa.binary()).to_pylist()
+                *same, bodies, spans, blocks = batch.columns
                 totals, lost, kept, digests = [], [], [], []
-                for text, spans, blocks in zip(
-                    texts, batch.column(2).to_pylist(), batch.column(3).to_pylist()
-                ):
+                rows = zip(bodies.cast(pa.binary()).to_pylist(), spans.to_pylist(), blocks.to_pylist())
+                for text, removed, compared in rows:
                     words = text.split()
                     stays = np.ones(len(words), bool)
-                    for span in spans or ():
+                    for span in removed or ():
                         stays[span["start"] : span["start"] + span["n"] + length - 1] = False
                     totals.append(len(words))
                     lost.append(len(words) - int(stays.sum()))
-                    kept.append(b" ".join(compress(words, stays) if lost[-1] else words))
+                    kept.append(b" ".join(compress(words, stays.tolist()) if lost[-1] else words))
                     parts = (
                         (b["source"], b["n"], b" ".join(words[b["start"] : b["start"] + b["n"]]))
-                        for b in blocks or ()
+                        for b in compared or ()
                     )
                     digests.append([(s, n, xxhash.xxh128_digest(part)) for s, n, part in parts])
                 made = [
@@ -352,27 +370,36 @@ def _cleaned(texts: DataFrame, spans: DataFrame, blocks: DataFrame, length: int)
                     pa.array(kept, pa.binary()).cast(pa.string()),
                     pa.array(digests, kind),
                 ]
-                yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=names)
+                yield pa.RecordBatch.from_arrays([*same, *made], names=names)
 
-    joined = texts.select("base", "text").join(wanted, "base", "left")
-    return joined.select("base", "text", "spans", "blocks").mapInArrow(run, schema)
+    # Lists are small beside texts: hashing them spares a sort of the texts.
+    joined = texts.join(wanted.hint("shuffle_hash"), "base", "left")
+    return joined.select(*kept_columns, "text", "spans", "blocks").mapInArrow(run, schema)
 
 
 def _attempt(texts: DataFrame, slots: DataFrame, hashes: Hashes) -> DataFrame | None:
-    """(base, n_words, n_removed, kept), or None if a span is not what its source says."""
+    """The cleaned texts, or None if a span is not what its source says."""
+    spark, made = texts.sparkSession, []
+
+    def held(frame: DataFrame) -> DataFrame:
+        made.append(new_folder(spark, "repeats"))
+        return stored(frame, made[-1])
+
     sieve = repeated_filter(texts, hashes)
     windows = edges(texts, hashes, sieve)
     counted = windows.groupBy("l", "r").agg(F.count("*").alias("n"), F.min("at").alias("at"))
-    graph = stored(counted.filter("n > 1").select("l", "r", "at"))
-    paths = stored(compacted(graph)).withColumnRenamed("at", "source")
-    repeats = stored(
+    graph = held(counted.filter("n > 1").select("l", "r", "at"))
+    paths = held(compacted(graph)).withColumnRenamed("at", "source")
+    repeats = held(
         windows.join(paths, ["l", "r"])
         .filter("at != source")
         .select("base", "at", "path", "place", "source")
     )
-    spans = stored(spans_of(repeats))
-    blocks = stored(blocks_of(spans, slots, hashes.length))
+    spans = held(spans_of(repeats))
+    blocks = held(blocks_of(spans, slots, hashes.length))
     cleaned = stored(_cleaned(texts, spans, blocks, hashes.length))
+    for folder in made:
+        remove_folder(spark, folder)
     compared = cleaned.select(F.explode("digests").alias("d")).groupBy("d.source", "d.n")
     odd = compared.agg(F.min("d.digest").alias("a"), F.max("d.digest").alias("b")).filter("a != b")
     return cleaned.drop("digests") if odd.isEmpty() else None
@@ -381,14 +408,19 @@ def _attempt(texts: DataFrame, slots: DataFrame, hashes: Hashes) -> DataFrame |
 def without_repeats(documents: DataFrame, *, length: int) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every document (doc_id, text): its words, how
     many of them repeats cover, and the others with one space between them."""
+    spark = documents.sparkSession
     whole = documents.select("doc_id", whole_text().alias("text"))
-    firsts, held = numbered_texts(whole)
+    firsts, everyone = numbered_texts(whole)
     named = whole.withColumns({"d1": F.xxhash64("text"), "d2": F.xxhash64(F.lit(1), "text")})
     same = F.lit(True)
     for column in ("d1", "d2", "doc_id"):
         same &= F.col(f"w.{column}").eqNullSafe(F.col(f"f.{column}"))
-    matched = named.alias("w").join(firsts.alias("f"), same).select("f.base", "w.text")
-    texts = stored(matched.dropDuplicates(["base"]))
+    matched = named.alias("w").join(firsts.hint("shuffle_hash").alias("f"), same)
+    matched = matched.select("f.base", "w.doc_id", "w.d1", "w.d2", "w.text")
+    if not everyone.filter("copies > 1").isEmpty():
+        matched = matched.dropDuplicates(["base"])
+    folder = new_folder(spark, "texts")
+    texts = stored(matched, folder)
     slots = firsts.select("base", F.explode(F.expr("sequence(slot, slot + slots - 1)")).alias("slot"))
     for seed in SEEDS:
         cleaned = _attempt(texts, slots, Hashes(seed, length))
@@ -396,17 +428,21 @@ def without_repeats(documents: DataFrame, *, length: int) -> DataFrame:
             break
     else:
         raise RuntimeError("spans differ from their sources under every seed")
-    # Every row of a text but one is a repeat of the whole text, if that has a window.
-    whole_copy = F.col("n_words") >= length
-    result = firsts.select("base", "d1", "d2", F.col("doc_id").alias("first_id")).join(cleaned, "base")
-    everyone = held.select("doc_id", "d1", "d2", "copies").join(result, ["d1", "d2"])
-    is_first = F.col("doc_id").eqNullSafe(F.col("first_id"))
-    each = everyone.select(
-        "*", F.posexplode(F.expr("array_repeat(true, cast(copies as int))")).alias("copy", "there")
-    ).withColumn("again", whole_copy & ~(is_first & (F.col("copy") == 0)))
-    return each.select(
-        "doc_id",
+    remove_folder(spark, folder)
+    # Every other row of a text is a repeat of the whole text, if that has a window.
+    has_window = F.col("n_words") >= length
+    known = cleaned.select(
+        F.col("doc_id").alias("first_id"),
+        "d1",
+        "d2",
         "n_words",
-        F.when(F.col("again"), F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
-        F.when(F.col("again"), F.lit("")).otherwise(F.col("kept")).alias("kept"),
+        F.when(has_window, F.col("n_words")).otherwise(F.lit(0)).alias("n_removed"),
+        F.when(has_window, F.lit("")).otherwise(F.col("kept")).alias("kept"),
+    )
+    is_first = F.col("doc_id").eqNullSafe(F.col("first_id")).cast("int")
+    again = everyone.join(known, ["d1", "d2"]).withColumn("copies", F.col("copies") - is_first)
+    copies = again.select(
+        "*", F.explode(F.expr("array_repeat(true, cast(copies as int))")).alias("there")
     )
+    columns = ["doc_id", "n_words", "n_removed", "kept"]
+    return cleaned.select(*columns).unionByName(copies.select(*columns))
