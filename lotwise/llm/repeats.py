@@ -36,7 +36,6 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -57,6 +56,9 @@ CHUNK_BYTES = 8 << 20
 # A coordinate is a text's number of slots before it, and a word's place. A text of more
 # words than a slot holds has several.
 SLOT_BITS = 24
+# Bytes whose words are hashed together, and those beyond which a word is hashed by itself.
+PIECE_BYTES = 1 << 18
+LONG_WORD = 256
 # Words a verified block has at most.
 BLOCK = 64
 SEEDS = range(1, 4)
@@ -74,21 +76,44 @@ class Hashes:
         self.shingle = max(1, 2 * length // 5)
         self.factors = np.random.default_rng(seed).integers(0, 1 << 64, (2, length), np.uint64)
         self.factors |= np.uint64(1)
+        draw = np.random.default_rng([seed, 1])
+        self.signs = draw.integers(0, 1 << 64, 256, np.uint64)
+        root = int(draw.integers(0, 1 << 61)) * 8 + 3
+        self.powers, self.inverses = (
+            np.cumprod(np.concatenate([[np.uint64(1)], np.full(PIECE_BYTES, number, np.uint64)]))
+            for number in (root, pow(root, -1, 1 << 64))
+        )
 
     def words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """A hash of every word, and the number of words up to the end of each text."""
         between = b" " + MARK + b" "
-        spaced = between.join([*texts, b""]).translate(SPACED)
-        split = pc.split_pattern(pa.array([spaced], pa.large_binary()), b" ").flatten()
-        encoded = split.dictionary_encode()
-        spelled, ids = encoded.dictionary, encoded.indices.to_numpy()
-        empty, mark = (pc.index(spelled, sign).as_py() for sign in (b"", MARK))
-        digest = xxhash.xxh64_intdigest
-        known = (digest(w, self.seed) for w in spelled.to_pylist())
-        hashes = np.fromiter(known, np.uint64, len(spelled))
-        ids = ids[ids != empty]
-        marks = np.flatnonzero(ids == mark)
-        return hashes[ids[ids != mark]], marks - np.arange(len(marks))
+        spaced = b" " + between.join([*texts, b""]).translate(SPACED)
+        signs = np.frombuffer(spaced, np.uint8)
+        edge = np.flatnonzero(np.diff(signs != ord(" "), append=False)) + 1
+        starts, ends = edge[::2], edge[1::2]
+        hashes = np.empty(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):
+            until = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE_BYTES, "right")))
+            hashes[at:until] = self._of_piece(signs, starts[at:until], ends[at:until])
+            at = until
+        for i in np.flatnonzero(ends - starts > LONG_WORD):
+            hashes[i] = xxhash.xxh64_intdigest(spaced[starts[i] : ends[i]], self.seed)
+        mark = signs[starts] == MARK[0]
+        marks = np.flatnonzero(mark)
+        return hashes[~mark], marks - np.arange(len(marks))
+
+    def _of_piece(self, signs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Polynomials of words that lie near each other, from sums over all their signs."""
+        first, size = int(starts[0]), int(ends[-1] - starts[0])
+        if size > PIECE_BYTES:
+            return np.zeros(len(starts), np.uint64)
+        terms = self.signs[signs[first : first + size]] * self.powers[:size]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+        hashes = (sums[ends - first] - sums[starts - first]) * self.inverses[starts - first]
+        hashes ^= hashes >> np.uint64(32)
+        hashes *= np.uint64(0x94D049BB133111EB)
+        return hashes ^ hashes >> np.uint64(29)
 
     def _summed(self, words: np.ndarray, width: int, row: int) -> np.ndarray:
         total = np.zeros(len(words) - width + 1, np.uint64)
