@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lotwise.llm import shared
-from lotwise.llm.pretokens import TextEncoder, byte_letters
+from lotwise.llm.pretokens import KEPT_PIECES, TextEncoder, byte_letters
 
 SHORT_WORD = 96
 NO_MERGE = 1 << 40
@@ -112,13 +112,13 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> TextEncoder:
+def encoder(path: str, room: int) -> TextEncoder:
     words = vocabulary(path)
 
     def encode(piece: str) -> bytes:
         return np.array(words.merge_word(piece.encode("utf-8")), "<u4").tobytes()
 
-    return TextEncoder(encode, words.special)
+    return TextEncoder(encode, words.special, room)
 
 
 def encode_documents(
@@ -128,14 +128,16 @@ def encode_documents(
     text: str = "text",
     into: str = "token_ids",
     decoded_into: str | None = None,
+    room: int = KEPT_PIECES,
 ) -> DataFrame:
     """Add the ids of each text, as little-endian unsigned 32-bit integers; under
-    ``decoded_into``, if named, also the text decoded from them.
+    ``decoded_into``, if named, also the text decoded from them. Each task remembers
+    ``room`` pieces. Input columns of the new names are replaced.
 
     Special tokens inside a text count as such; none is added."""
 
     def make():
-        encode, decode = encoder(vocabulary_path), vocabulary(vocabulary_path).decode
+        encode, decode = encoder(vocabulary_path, room), vocabulary(vocabulary_path).decode
         if decoded_into is None:
             return lambda value: (encode(value or ""),)
 

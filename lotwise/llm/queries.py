@@ -27,6 +27,8 @@ from lotwise.llm.shared import table_of, whole_text
 # What the queries' contracts set.
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
+# Word pieces a task remembers where encoding is all it does.
+PIECES_ALONE = 600_000
 RULES = [
     ("net", "/", "block"),
     ("example.net", "/en/", "allow"),
@@ -69,12 +71,14 @@ def op2_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table_of(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_digests(documents).drop("token_ids")
+    return token_digests(documents, room=PIECES_ALONE).drop("token_ids")
 
 
-def token_digests(documents: DataFrame) -> DataFrame:
+def token_digests(documents: DataFrame, room: int = bpe.KEPT_PIECES) -> DataFrame:
     """Ids of each document, and digests of them and of the text decoded from them."""
-    encoded = bpe.encode_documents(documents, vocabulary_path(), decoded_into="decoded")
+    encoded = bpe.encode_documents(
+        documents, vocabulary_path(), decoded_into="decoded", room=room
+    )
     return encoded.select(
         "doc_id",
         F.floor(F.length("token_ids") / 4).alias("n_tokens"),

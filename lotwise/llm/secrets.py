@@ -3,7 +3,8 @@
 The patterns find assignments of credentials, access keys and long hexadecimal
 runs. Beyond them, values that stand in the context of a credential are cut into
 words, dates, repeats, keyboard walks and brute-force spans so that guessing them
-in this order costs least; a value that still costs ``MIN_GUESSES`` is a secret.
+in this order costs least; a value that still costs ``MIN_GUESSES`` is a secret. Every
+such value is scored, also one that a pattern covers; its span stands beside the other.
 
 Null and empty texts hold no secrets. Rows are kept one to one with all their
 columns. Positions are code points, the end exclusive.
@@ -14,8 +15,6 @@ from __future__ import annotations
 import functools
 import json
 import re
-from bisect import bisect_right
-from itertools import accumulate
 from math import log10
 
 import pyarrow as pa
@@ -23,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
 # The patterns and what their matches need. A match that falls
 # short is dropped; the search goes on behind it.
 KINDS = ["assign", "access", "hex", "guess"]
@@ -209,23 +207,14 @@ def find(text: str, words: dict[str, float], min_guesses: float = MIN_GUESSES) -
             if len(m.group(2)) >= ASSIGN_VALUE
         ]
     if any(stem in low for stem in CONTEXT_FORMS):
-        starts, reached = _reached(spans)
-        for m in CONTEXT.finditer(text):
-            start, end = m.span(1)
-            before = bisect_right(starts, start)
-            covered = before > 0 and reached[before - 1] >= end
-            if not covered and guess_cost(m.group(1), words) >= min_guesses:
-                spans.append(("guess", start, end))
+        spans += [
+            ("guess", *m.span(1))
+            for m in CONTEXT.finditer(text)
+            if guess_cost(m.group(1), words) >= min_guesses
+        ]
     return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0])))
 
 
-def _reached(spans: list[tuple]) -> tuple[list[int], list[int]]:
-    """Starts in order, and how far any span that starts there or before reaches."""
-    ordered = sorted(span[1:] for span in spans)
-    ends = accumulate((end for _, end in ordered), max)
-    return [start for start, _ in ordered], list(ends)
-
-
 def masked(text: str, spans: list[tuple], mask: str = MASK) -> str:
     """The text with every span replaced by a mask; spans that overlap become one."""
     out, at = [], 0

@@ -20,12 +20,47 @@ from lotwise.session import new_folder
 BATCH_BYTES = 4 << 20
 
 
+# How Spark and the tasks' own file systems name the same store.
+TASK_SCHEMES = {
+    "s3a": "s3",
+    "s3n": "s3",
+    "s3": "s3",
+    "gs": "gs",
+    "hdfs": "hdfs",
+    "abfs": "abfs",
+    "abfss": "abfss",
+}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder for task files, as a URI that every executor understands."""
-    folder = new_folder(spark, purpose)
-    if folder.startswith("file:"):
-        folder = "/" + folder[len("file:") :].lstrip("/")
-    return folder
+    """A new folder for task files, by a name that tasks understand on every executor.
+
+    Spark's own file system resolves it first, so a relative folder means the same
+    to tasks as to Spark."""
+    return task_path(qualified(spark, new_folder(spark, purpose)))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(folder).toString()
+
+
+def task_path(path: str) -> str:
+    """The name tasks use for a path that Spark has resolved; raises where they cannot
+    write to such a store."""
+    scheme, colon, rest = path.partition(":")
+    if not colon:
+        return path
+    if scheme == "file":
+        return "/" + rest.lstrip("/")
+    if scheme == "dbfs":
+        return "/dbfs/" + rest.lstrip("/")
+    if scheme not in TASK_SCHEMES:
+        known = ", ".join(["file", "dbfs", *TASK_SCHEMES])
+        raise ValueError(f"tasks cannot write to {path}: set spark.checkpoint.dir to one of {known}")
+    return f"{TASK_SCHEMES[scheme]}:{rest}"
 
 
 def locate(path: str) -> tuple[pa.fs.FileSystem, str]:

@@ -1,16 +1,18 @@
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import tokenizers
 import xxhash
 from conftest import SMALL, rows
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lotwise.llm import components, hnsw, language, queries, raking, simhash, threshold
+from lotwise.llm import components, hnsw, language, queries, raking, secrets, simhash, threshold
 
 
 def plain_fingerprint(text, shingle):
@@ -269,46 +271,54 @@ def test_stages_on_no_documents(spark):
         assert found.count() == 0
 
 
+def plain_once(documents):
+    """The first document of each component, by comparing all pairs of fingerprints."""
+    prints = {i: plain_fingerprint(text, 3) for i, text in documents.items()}
+    groups = plain_groups(prints, 2)
+    return {i for i, root in groups.items() if i == root}
+
+
 def test_the_pipeline_equals_its_steps_one_by_one(spark):
     table = spark.read.parquet(f"{SMALL}/documents.parquet")
     profiles = queries.learned_language(table)
-    left = {r.doc_id: r for r in table.collect() if profiles.predict(r.text)[0] != "und"}
-    prints = {}
-    for i, row in left.items():
-        words = simhash.fingerprint(row.text, corpus_pipeline.SHINGLE, corpus_pipeline.PRINT_WORDS)
-        prints[i] = sum(word << 64 * w for w, word in enumerate(words))
-    groups = plain_groups(prints, corpus_pipeline.PRINT_BITS)
-    once = corpus_pipeline.drop_near_copies(
-        spark, corpus_pipeline.identify_language(spark, table, SMALL), SMALL
-    )
-    found = {i for (i,) in rows(once, "doc_id")}
-    # Links that need more than one bit in every segment may be missed, none is invented.
-    assert {i for i, root in groups.items() if i == root} <= found
-    assert len(found) <= len(set(groups.values())) + 2
+    left = {r.doc_id: r.text for r in table.collect() if profiles.predict(r.text)[0] != "und"}
+    known = corpus_pipeline.identify_language(spark, table, SMALL)
+    assert dict(rows(known, "doc_id", "text")) == left
+    once = corpus_pipeline.drop_near_copies(spark, known, SMALL)
+    kept = plain_once(left)
+    assert {i for (i,) in rows(once, "doc_id")} == kept and len(kept) < len(left)
+    masked = corpus_pipeline.mask_secrets(spark, once, SMALL)
+    words = secrets.ranked_words(queries.vocabulary_path())
+    clean = {i: secrets.masked(left[i], secrets.find(left[i], words)) for i in kept}
+    assert dict(rows(masked, "doc_id", "text")) == clean
+    mixed = corpus_pipeline.mix_sources(spark, masked, SMALL)
+    assert mixed.exceptAll(masked).isEmpty()
+    sampled = {i for (i,) in rows(mixed, "doc_id")}
+    library = tokenizers.Tokenizer.from_file(queries.vocabulary_path())
+    library.no_padding()
+    library.no_truncation()
+    encoded = {}
+    for i in sampled:
+        ids = library.encode(clean[i], add_special_tokens=False).ids
+        data = np.array(ids, "<u4").tobytes()
+        back = library.decode(ids, skip_special_tokens=False)
+        encoded[i] = (len(ids), hashlib.sha256(data).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), data)
     ran = corpus_pipeline.run(spark, SMALL)
-    assert {i for (i,) in rows(ran, "doc_id")} <= found
-    assert ran.count() == ran.select("doc_id").distinct().count() > 0
-
-
-def test_near_copies_equal_all_pairs(spark):
-    """Lone pairs at 0.75 to 0.95 by brute force: each alike enough is found, no other."""
-    draw = np.random.default_rng(5)
-    word = lambda: f"w{draw.integers(10**9)}"
-    texts, alike = [], {}
-    for pair in range(240):
-        size = int(draw.integers(30, 400))
-        base = [word() for _ in range(size)]
-        changed = list(base)
-        for place in draw.choice(size, max(1, int(size * draw.uniform(0.004, 0.03))), replace=False):
-            changed[place] = word()
-        sets = [{tuple(t[i : i + 5]) for i in range(size - 4)} for t in (base, changed)]
-        alike[pair] = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-        texts += [(2 * pair, " ".join(base)), (2 * pair + 1, " ".join(changed))]
-    assert sum(0.8 <= j < 0.9 for j in alike.values()) > 40
-    assert sum(j < 0.8 for j in alike.values()) > 20
-    frame = spark.createDataFrame(texts, "doc_id long, text string")
-    kept = {i for (i,) in rows(corpus_pipeline.drop_near_copies(spark, frame, SMALL), "doc_id")}
-    assert kept == {2 * p for p in alike} | {2 * p + 1 for p, j in alike.items() if j < 0.8}
+    found = {r[0]: (r[1], r[2], r[3], bytes(r[4])) for r in rows(ran)}
+    assert found == encoded and found
+
+
+def test_near_copies_with_clashing_columns(spark):
+    documents = [
+        (1, "one two three four", 0, "a"), (2, "one two three four", 0, "b"), (2, "one two three four", 0, "b"),
+        (3, None, 0, "c"), (4, "", 0, "d"), (None, "quite another text altogether here", 0, "e"),
+        (5, "a b c " * 50_000, 0, "f"),
+    ]
+    frame = spark.createDataFrame(documents, "doc_id long, text string, mark int, doc_id_kept string")
+    frame = frame.withColumns({"kept_id": F.lit(1), "mark_kept": F.lit(2), "component": F.lit(3)})
+    once = corpus_pipeline.drop_near_copies(spark, frame, SMALL)
+    assert once.columns == frame.columns
+    assert {r[0] for r in rows(once)} == {1, 3, 5, None} and once.count() == 4
 
 
 def test_a_rare_value_does_not_shrink_the_sample():
