@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from lotwise import schema as S
 from lotwise.functions.parsing import integer_from_double
 from lotwise.operators.tables import stored
+from lotwise.sources.records import parsed_records, quoted_records
 
 # Quotes inside quoted fields are doubled.
 QUOTING = {"quote": '"', "escape": '"'}
@@ -24,9 +25,6 @@ def loose_schema() -> T.StructType:
     )
 
 
-# A file with line breaks in fields is read whole by one task, so it may not be larger.
-WHOLE_FILE_BYTES = 4 << 30
-
 # A listing without one of these columns is of no use.
 NEEDED_COLUMNS = ["id", *S.REQUIRED_COLUMNS]
 
@@ -36,39 +34,28 @@ def read_listings_csv(
     path: str | list[str],
     *,
     line_breaks_in_fields: bool = True,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """Listings from CSV, columns taken by the names in the header row.
 
     Columns may come in any order; further ones are ignored, absent ones are null,
     but the needed ones must be there. All files must have the same header.
 
-    Descriptions hold line breaks inside quotes. Reading those rightly means one
-    task per file, so a file above ``whole_file_bytes`` is refused: deliver large
-    feeds as many files. Feeds known to hold no breaks can pass
-    ``line_breaks_in_fields=False`` to split files as well.
+    Descriptions hold line breaks inside quotes. Files are cut into records in
+    parallel all the same, which reads them once more to count quotes. Feeds known to
+    hold no breaks can pass ``line_breaks_in_fields=False`` to spare that.
     """
-    if line_breaks_in_fields:
-        _refuse_large_files(spark, path, whole_file_bytes)
     options = {"header": True, "multiLine": line_breaks_in_fields, **QUOTING}
     named = spark.read.csv(path, **options)
     present = {name.lower() for name in named.columns}
     absent = [name for name in NEEDED_COLUMNS if name.lower() not in present]
     if absent:
         raise ValueError(f"the CSV header has no column {', '.join(absent)}")
-    text = spark.read.schema(named.schema).csv(path, enforceSchema=False, **options)
-    return typed_listings(text)
-
-
-def _refuse_large_files(spark: SparkSession, path: str | list[str], limit: int) -> None:
-    """Only lengths are listed here; no file is read."""
-    found = spark.read.format("binaryFile").load(path).select("path", "length")
-    large = found.filter(F.col("length") > limit).limit(1).collect()
-    if large:
-        raise ValueError(
-            f"{large[0]['path']} has {large[0]['length']} bytes, which one task would have to "
-            "read: cut it into files, or say that fields hold no line breaks"
-        )
+    if not line_breaks_in_fields:
+        text = spark.read.schema(named.schema).csv(path, enforceSchema=False, **options)
+        return typed_listings(text)
+    first = spark.read.csv(path, multiLine=True, **QUOTING).first()
+    records = quoted_records(spark, path, [name or "" for name in first])
+    return typed_listings(parsed_records(records, named.columns, QUOTING))
 
 
 def read_listings_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:
