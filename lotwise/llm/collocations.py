@@ -57,7 +57,7 @@ UNKNOWN = "und"
 SAMPLE_PERCENT = 10
 LOWERED = 0.6
 FILTER_BYTES = 16 << 20
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 
 # Never part of UTF-8, so no text holds it: it stands between pieces.
 MARK = b"\xff"

@@ -52,7 +52,7 @@ from lotwise.session import new_folder, remove_folder
 BLANKS = b" \t\n\v\f\r"
 
 FILTER_BYTES = 32 << 20
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 # A coordinate is a text's number of slots before it, and a word's place. A text of more
 # words than a slot holds has several.
 SLOT_BITS = 24
@@ -169,6 +169,7 @@ def _chunks(incoming: Iterator[pa.RecordBatch], hashes: Hashes) -> Iterator[tupl
             bases, texts = batch.column(0), batch.column(1).cast(pa.binary()).to_pylist()
             words, ends = hashes.words(texts)
             yield bases.to_numpy(zero_copy_only=False), ends, words
+            pa.default_memory_pool().release_unused()
 
 
 def least_shingles(texts: DataFrame, hashes: Hashes) -> DataFrame:
