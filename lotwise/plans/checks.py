@@ -183,6 +183,11 @@ _ROWS_ONLY = f'select {LISTING}, vin as "VIN"'
 
 ORACLES: dict[str, str] = {
     "src_csv_roundtrip": _with([LISTINGS], f"{_ROWS_ONLY} from listings"),
+    "src_csv_breaks": _with(
+        [LISTINGS],
+        """select id, price, state,
+  region || chr(10) || '"' || model || '", sold' || chr(10) as description from listings""",
+    ),
     "src_json_encode": _with(
         [LISTINGS],
         """select id, cast(json_merge_patch('{}', json_object('id', id, 'region', region,
@@ -294,6 +299,15 @@ order by id limit 5""",
         BATCH, f"select *, timestamp '2001-08-02 00:00:00' as processed_at from ({PUBLISHED})"
     ),
     "snk_overwrite": _with(BATCH, PUBLISHED),
+    "snk_publish_version": _with(BATCH, PUBLISHED),
+    "snk_append_once": _with([LISTINGS], f"{_ROWS_ONLY} from listings"),
+    "str_dead_letters": _with(
+        [LISTINGS],
+        """select id as "offset", case when bad then reason end as reason, case when not bad then id end as id,
+  case when not bad then price end as price, case when not bad then model end as model
+from (select *, id % 7 = 0 or id % 11 = 0 or id % 13 = 0 as bad,
+  case when id % 7 = 0 or id % 11 = 0 then 'broken or ill-typed JSON' else 'empty' end as reason from listings)""",
+    ),
     "str_score_alerts": _with(LIVE, ALL_ALERTS),
     "str_segment_summary": _with(
         [LISTINGS, STANDARD], f"select *, 0 as batch_id from ({SUMMARY})"

@@ -5,11 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
 from lotwise.operators import arbitrage, forensics, prepare, rating, reports, segments
+from lotwise.operators.commits import (
+    Commits,
+    append_once,
+    compact,
+    publish,
+    read_appended,
+    read_published,
+    remove_old_versions,
+    remove_unread,
+)
 from lotwise.operators.tables import overwrite_table, stored
 from lotwise.plans import scoring
 from lotwise.session import new_folder
@@ -97,6 +108,16 @@ def src_csv_roundtrip(spark, sf_dir):
     return files.read_listings_csv(spark, path).select(*LISTING, "VIN")
 
 
+@query
+def src_csv_breaks(spark, sf_dir):
+    """One file whose descriptions hold line breaks, quotes and commas."""
+    path = new_folder(spark, "csv")
+    listings = standin_listings(spark, sf_dir)
+    line = F.concat_ws("\n", "region", F.concat(F.lit('"'), "model", F.lit('", sold')), F.lit(""))
+    files.write_listings_csv(listings.withColumn("description", line).coalesce(1), path)
+    return files.read_listings_csv(spark, path).select("id", "price", "description", "state")
+
+
 @query
 def src_json_encode(spark, sf_dir):
     listings = standin_listings(spark, sf_dir)
@@ -401,6 +422,23 @@ def snk_overwrite(spark, sf_dir):
     return spark.read.schema(table.schema).parquet(path).drop("processed_at")
 
 
+@query
+def snk_publish_version(spark, sf_dir):
+    """The published table through its pointer, after a version before it and a write
+    that failed half way."""
+    path = new_folder(spark, "published")
+    table = stored(scoring.published(_scored_batch(spark, sf_dir)).drop("processed_at"))
+    publish(table.filter(F.col("id") % 10 == 0), path)
+    publish(table, path)
+    broken = F.when(F.col("id") % 7 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("model"))
+    try:
+        publish(table.withColumn("model", broken.cast("string")), path)
+    except PySparkException:
+        pass
+    remove_old_versions(spark, path)
+    return read_published(spark, path)
+
+
 # Streams: run to the end of their input, then read what they wrote.
 
 
@@ -451,6 +489,48 @@ def snk_stream_append(spark, sf_dir):
     return read_table(spark, output, "listings").select(*LISTING, "VIN")
 
 
+@query
+def snk_append_once(spark, sf_dir):
+    """Ten batches; every third is lost after its write, before its commit, and all of
+    them run again. Then the small folders are compacted, and one batch comes once more."""
+    table = f"{new_folder(spark, 'appended')}/listings"
+    listings = stored(standin_listings(spark, sf_dir).select(*LISTING, "VIN"))
+    batches = [listings.filter(F.pmod(F.col("id"), F.lit(10)) == i) for i in range(10)]
+    for i, batch in enumerate(batches):
+        if i % 3 == 0:
+            batch.write.parquet(f"{table}/{Commits(spark, table).new_folder()}")
+        append_once(batch, table, "run", i)
+        append_once(batch, table, "run", i)
+    compact(spark, table)
+    append_once(batches[4], table, "run", 4)
+    remove_unread(spark, table)
+    return read_appended(spark, table)
+
+
+@query
+def str_dead_letters(spark, sf_dir):
+    """Every seventh message is cut short, every eleventh is ill-typed, every thirteenth
+    is empty: good and bad ones are loaded apart, together as many as sent."""
+    text = F.col("value").cast("string")
+    number = F.get_json_object(text, "$.id").cast("long")
+    sent = _stamped(standin_listings(spark, sf_dir)).withColumn("offset", number)
+    spoilt = (
+        F.when(F.col("offset") % 7 == 0, F.substring(text, F.lit(1), F.length(text) - 1))
+        .when(F.col("offset") % 11 == 0, F.regexp_replace(text, '"id":(\\d+)', '"id":"x$1"'))
+        .when(F.col("offset") % 13 == 0, F.lit(""))
+        .otherwise(text)
+    )
+    folder, output = new_folder(spark, "messages"), new_folder(spark, "loaded")
+    messages.write_message_files(sent.withColumn("value", spoilt.cast("binary")), folder)
+    stream = messages.read_message_files(spark, folder)
+    jobs.start_loading_examined(stream, output, trigger=AVAILABLE_NOW).awaitTermination()
+    good = read_appended(spark, f"{output}/listings").select(
+        "offset", F.lit(None).cast("string").alias("reason"), "id", "price", "model"
+    )
+    dead = read_appended(spark, f"{output}/dead_letters").select("offset", "reason")
+    return good.unionByName(dead, allowMissingColumns=True)
+
+
 @query
 def str_latency(spark, sf_dir):
     folder = _message_folder(spark, standin_listings(spark, sf_dir))

@@ -75,7 +75,9 @@ def typed_listings(listings: DataFrame) -> DataFrame:
 
 def write_listings_csv(listings: DataFrame, path: str) -> None:
     record = listings.select(*record_columns(listings))
-    record.write.mode("overwrite").csv(path, header=True, **QUOTING)
+    record.write.mode("overwrite").csv(
+        path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **QUOTING
+    )
 
 
 def record_columns(listings: DataFrame) -> list:

@@ -64,6 +64,38 @@ def decode_messages(messages: DataFrame, columns: list[str] | None = None) -> Da
     return parsed.select(*[_received(f) for f in fields], "event_time")
 
 
+# Where a message's text goes if it cannot be read.
+UNREAD = "_unread"
+
+
+def examine_messages(messages: DataFrame) -> DataFrame:
+    """Every message, decoded, with its place and its value as it came, and ``reason``:
+    why it cannot be loaded, or null.
+
+    A message without content, one that is no JSON object, and one whose JSON is broken
+    or holds values of other types are kept from the listings."""
+    fields = loose_schema().fields
+    schema = T.StructType([*fields, T.StructField(UNREAD, T.StringType())])
+    text = F.col("value").cast("string")
+    parsed = messages.select(
+        "value",
+        "topic",
+        "partition",
+        "offset",
+        F.col("timestamp").alias("event_time"),
+        F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\r\n")).alias("text"),
+        F.from_json(text, schema, {"columnNameOfCorruptRecord": UNREAD}).alias("data"),
+    )
+    reason = (
+        F.when(F.col("text") == "", "empty")
+        .when(~F.col("text").startswith("{"), "no JSON object")
+        .when(F.col("data").isNull() | F.col(f"data.{UNREAD}").isNotNull(), "broken or ill-typed JSON")
+    )
+    place = ["value", "topic", "partition", "offset", "event_time"]
+    decoded = parsed.withColumn("reason", reason).select(*place, "reason", "data.*").drop(UNREAD)
+    return decoded.select(*place, "reason", *[_received(f) for f in fields])
+
+
 def _received(field: T.StructField):
     value = F.col(field.name)
     if field.name == "price":

@@ -13,8 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from lotwise import schema as S
 from lotwise.operators import prepare, reports
 from lotwise.plans.scoring import clean_live, score_live
-from lotwise.sources.messages import decode_messages
-from lotwise.streaming.sinks import Sink, file_sink
+from lotwise.sources.messages import decode_messages, examine_messages
+from lotwise.streaming.sinks import Sink, current_run, file_sink, once_sink
 
 # Fixed value: how often the scoring stream wakes up.
 EVERY_TEN_SECONDS = {"processingTime": "10 seconds"}
@@ -51,12 +51,11 @@ def start_scoring(
     numbers only mean something together with it.
     """
     sink = sink or file_sink(output)
-    statistics_path = f"{output}/_statistics"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        score_micro_batch(
-            batch, batch_id, sink, statistics_path=statistics_path, current_year=current_year
-        )
+        # A folder for each query: two that share an output do not share statistics.
+        path = f"{output}/_statistics/run={current_run(batch.sparkSession)}"
+        score_micro_batch(batch, batch_id, sink, statistics_path=path, current_year=current_year)
 
     listings = decode_messages(messages, SCORED_COLUMNS)
     return _start(listings, handle, output, checkpoint, trigger)
@@ -132,6 +131,40 @@ def load_micro_batch(batch: DataFrame, batch_id: int, sink: Sink, clock: Clock)
     sink(reports.with_latency(newest, arrival), "load_latency", batch_id)
 
 
+def start_loading_examined(
+    messages: DataFrame,
+    output: str,
+    *,
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+    format: str = "parquet",
+) -> StreamingQuery:
+    """Append readable messages to ``listings`` with the topic, partition and offset they
+    came from, and the others to ``dead_letters``, whole and with the reason; every
+    message once, also where a batch is repeated after a failure."""
+    sink = once_sink(output, format)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        load_examined_batch(batch, batch_id, sink)
+
+    return _start(examine_messages(messages), handle, output, checkpoint, trigger)
+
+
+def load_examined_batch(batch: DataFrame, batch_id: int, sink: Sink) -> None:
+    """The source is read once; without messages nothing is written."""
+    kept = batch.persist()
+    try:
+        counts = kept.agg(F.count("*"), F.count("reason")).first()
+        if counts[0] > counts[1]:
+            good = kept.filter("reason is null").drop("value", "reason", "event_time")
+            sink(prepare.nan_to_null(good), "listings", batch_id)
+        if counts[1]:
+            place = ["topic", "partition", "offset", "event_time"]
+            sink(kept.filter("reason is not null").select(*place, "reason", "value"), "dead_letters", batch_id)
+    finally:
+        kept.unpersist()
+
+
 def _start(
     listings: DataFrame,
     handle: Callable[[DataFrame, int], None],

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
+from lotwise.operators.commits import append_once
 from lotwise.operators.tables import append_table
 
 # Where Spark notes the streaming query that a thread works for.
@@ -50,6 +51,18 @@ def append_sink(format: str, table_option: str, prefix: str = "", **options: str
     return write
 
 
+def once_sink(root: str, format: str = "parquet", **options: str) -> Sink:
+    """Append each batch of each query once, however often it runs. Read the tables with
+    :func:`lotwise.operators.commits.read_appended`, and compact them from time to time."""
+
+    def write(frame: DataFrame, table: str, batch_id: int) -> None:
+        run = current_run(frame.sparkSession)
+        numbered = frame.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
+        append_once(numbered, f"{root}/{table}", run, batch_id, format, **options)
+
+    return write
+
+
 def console_sink(rows: int = S.SUMMARY_TOP) -> Sink:
     """Print the first rows of each table and say how many there are: a look at the
     stream, to be used beside a sink that keeps everything."""
