@@ -213,7 +213,26 @@ def edges(texts: DataFrame, hashes: Hashes, sieve: Level) -> DataFrame:
     return texts.select("base", "text").mapInArrow(run, "l long, r long, at long, base long")
 
 
-def compacted(graph: DataFrame) -> DataFrame:
+class Scratch:
+    """Tables of one attempt in the shared folder, removed as soon as nothing needs them."""
+
+    def __init__(self, spark):
+        self.spark, self.folders = spark, []
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        folder = new_folder(self.spark, "repeats")
+        frame.write.option("compression", "zstd").parquet(folder)
+        self.folders.append(folder)
+        return self.spark.read.schema(frame.schema).parquet(folder)
+
+    def drop_all_but(self, last: int) -> None:
+        gone = self.folders[: len(self.folders) - last]
+        self.folders = self.folders[len(gone) :]
+        for folder in gone:
+            remove_folder(self.spark, folder)
+
+
+def compacted(graph: DataFrame, scratch: Scratch) -> DataFrame:
     """(l, r, at, path, place): path and place on it, for edges (l, r, at)."""
     before = graph.groupBy(F.col("r").alias("node")).agg(
         F.count("*").alias("n_in"), F.min("at").alias("before")
@@ -229,7 +248,7 @@ def compacted(graph: DataFrame) -> DataFrame:
         .orderBy("at")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    pieces = stored(
+    pieces = scratch.keep(
         linked.withColumn("piece", F.max(F.when(F.col("head"), F.col("at"))).over(along)).select(
             "l", "r", "at", "piece", F.when(F.col("head"), F.col("before")).alias("before")
         )
@@ -405,27 +424,23 @@ def _cleaned(texts: DataFrame, spans: DataFrame, blocks: DataFrame, length: int)
 
 def _attempt(texts: DataFrame, slots: DataFrame, hashes: Hashes) -> DataFrame | None:
     """The cleaned texts, or None if a span is not what its source says."""
-    spark, made = texts.sparkSession, []
-
-    def held(frame: DataFrame) -> DataFrame:
-        made.append(new_folder(spark, "repeats"))
-        return stored(frame, made[-1])
-
+    scratch = Scratch(texts.sparkSession)
     sieve = repeated_filter(texts, hashes)
     windows = edges(texts, hashes, sieve)
     counted = windows.groupBy("l", "r").agg(F.count("*").alias("n"), F.min("at").alias("at"))
-    graph = held(counted.filter("n > 1").select("l", "r", "at"))
-    paths = held(compacted(graph)).withColumnRenamed("at", "source")
-    repeats = held(
+    graph = scratch.keep(counted.filter("n > 1").select("l", "r", "at"))
+    paths = scratch.keep(compacted(graph, scratch)).withColumnRenamed("at", "source")
+    repeats = scratch.keep(
         windows.join(paths, ["l", "r"])
         .filter("at != source")
         .select("base", "at", "path", "place", "source")
     )
-    spans = held(spans_of(repeats))
-    blocks = held(blocks_of(spans, slots, hashes.length))
-    cleaned = stored(_cleaned(texts, spans, blocks, hashes.length))
-    for folder in made:
-        remove_folder(spark, folder)
+    scratch.drop_all_but(1)
+    spans = scratch.keep(spans_of(repeats))
+    scratch.drop_all_but(1)
+    blocks = scratch.keep(blocks_of(spans, slots, hashes.length))
+    cleaned = scratch.keep(_cleaned(texts, spans, blocks, hashes.length))
+    scratch.drop_all_but(1)
     compared = cleaned.select(F.explode("digests").alias("d")).groupBy("d.source", "d.n")
     odd = compared.agg(F.min("d.digest").alias("a"), F.max("d.digest").alias("b")).filter("a != b")
     return cleaned.drop("digests") if odd.isEmpty() else None
@@ -434,7 +449,6 @@ def _attempt(texts: DataFrame, slots: DataFrame, hashes: Hashes) -> DataFrame |
 def without_repeats(documents: DataFrame, *, length: int) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every document (doc_id, text): its words, how
     many of them repeats cover, and the others with one space between them."""
-    spark = documents.sparkSession
     whole = documents.select("doc_id", whole_text().alias("text"))
     firsts, everyone = numbered_texts(whole)
     named = whole.withColumns({"d1": F.xxhash64("text"), "d2": F.xxhash64(F.lit(1), "text")})
@@ -445,8 +459,8 @@ def without_repeats(documents: DataFrame, *, length: int) -> DataFrame:
     matched = matched.select("f.base", "w.doc_id", "w.d1", "w.d2", "w.text")
     if not everyone.filter("copies > 1").isEmpty():
         matched = matched.dropDuplicates(["base"])
-    folder = new_folder(spark, "texts")
-    texts = stored(matched, folder)
+    scratch = Scratch(documents.sparkSession)
+    texts = scratch.keep(matched)
     slots = firsts.select("base", F.explode(F.expr("sequence(slot, slot + slots - 1)")).alias("slot"))
     for seed in SEEDS:
         cleaned = _attempt(texts, slots, Hashes(seed, length))
@@ -454,7 +468,7 @@ def without_repeats(documents: DataFrame, *, length: int) -> DataFrame:
             break
     else:
         raise RuntimeError("spans differ from their sources under every seed")
-    remove_folder(spark, folder)
+    scratch.drop_all_but(0)
     # Every other row of a text is a repeat of the whole text, if that has a window.
     has_window = F.col("n_words") >= length
     known = cleaned.select(
