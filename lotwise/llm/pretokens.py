@@ -20,6 +20,9 @@ PATTERN = regex.compile(
 )
 LOOSE_SPACE = regex.compile(rf" (?:[{SPACE}]|\Z)")
 
+# Signs that follow a word; together they are one piece.
+SIGNS = ".,;:!?"
+
 # Pieces longer than this are not remembered. A memory holds so many pieces in two
 # halves; when the newer is full, the older is given up.
 LONGEST_KEPT = 64
@@ -81,6 +84,14 @@ class TextEncoder:
         self.cut = regex.compile("|".join(map(regex.escape, longest_first))) if special else None
 
     def _run(self, run: str) -> bytes:
+        """Most runs are a word, or a word and signs; those need no pattern."""
+        word = run[1:] if run[0] == " " else run
+        if word.isalpha():
+            return self.encode_piece(run)
+        head = word.rstrip(SIGNS)
+        if head.isalpha():
+            known = self.first if word is run else self.after_space
+            return known[head] + self.first[word[len(head) :]]
         pieces = PATTERN.findall(run)
         if len(pieces) == 1:
             return self.encode_piece(run)
