@@ -132,6 +132,23 @@ def test_lists_equal_a_full_scan(copies):
         assert lists.top(query, 7, 5) == expected
 
 
+def test_scores_beyond_doubles_are_exact_or_refused(spark):
+    table = np.array([[10**9, 3], [10**9, 4], [-(10**9), 7], [10**8, 10**9]], np.int64) * 2
+    lists = threshold.SortedLists.build(np.arange(4), table)
+    for own, query in enumerate(table.tolist()):
+        scores = {i: sum(a * b for a, b in zip(query, row)) for i, row in enumerate(table.tolist())}
+        order = sorted((i for i in scores if i != own), key=lambda i: (-scores[i], i))
+        assert lists.top(np.array(query), own, 3) == [(i, scores[i]) for i in order]
+    is_query = F.col("vec_id") == 0
+    for largest in (1e8, 1e9, 1e20):  # scores of about 7e20 and 7e22, components beyond 2^53
+        frame = spark.createDataFrame([(0, [largest]), (1, [largest])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match=r"exceeds a long|reaches 2\^53"):
+            threshold.top_scores(frame, is_query, k=1).collect()
+    frame = spark.createDataFrame([(0, [1e7]), (1, [1e7 + 1])], "vec_id long, embedding array<double>")
+    found = threshold.top_scores(frame, is_query, k=1).collect()
+    assert [tuple(row) for row in found] == [(0, 1, 1, 2**16 * 10**7 * (10**7 + 1))]
+
+
 def test_recall_of_the_graphs(spark):
     folder = "/root/testdata/sf0.01"
     table = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
