@@ -314,6 +314,7 @@ from (select *, id % 7 = 0 or id % 11 = 0 or id % 13 = 0 as bad,
     ),
     "str_batch_metrics": _with(LIVE, METRICS),
     "snk_stream_append": _with([LISTINGS], f"{_ROWS_ONLY} from listings"),
+    "snk_batches_by_bytes": _with([LISTINGS], f"{_ROWS_ONLY} from listings"),
     "str_latency": _with(
         [LISTINGS],
         """select count(*) as loaded_rows, max(event_time) as newest_message,

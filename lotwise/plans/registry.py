@@ -489,6 +489,18 @@ def snk_stream_append(spark, sf_dir):
     return read_table(spark, output, "listings").select(*LISTING, "VIN")
 
 
+@query
+def snk_batches_by_bytes(spark, sf_dir):
+    """A burst of unequal files, loaded in micro-batches of a bounded size."""
+    sent = stored(_stamped(standin_listings(spark, sf_dir)))
+    folder, output = new_folder(spark, "messages"), new_folder(spark, "loaded")
+    crumbs = F.pmod(F.xxhash64("value"), F.lit(50)) == 0
+    messages.write_message_files(sent.filter(crumbs).repartition(6), folder)
+    messages.write_message_files(sent.filter(~crumbs).repartition(3), folder)
+    _load(spark, folder, output, max_bytes_per_trigger=64 << 20)
+    return read_table(spark, output, "listings").select(*LISTING, "VIN")
+
+
 @query
 def snk_append_once(spark, sf_dir):
     """Ten batches; every third is lost after its write, before its commit, and all of

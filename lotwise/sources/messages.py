@@ -140,12 +140,23 @@ def write_bus(messages: DataFrame, servers: str, topic: str = TOPIC, format: str
 
 
 def read_message_files(
-    spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """A stream of stamped messages kept in parquet files."""
+    """A stream of stamped messages kept in parquet files.
+
+    ``max_files_per_trigger`` or ``max_bytes_per_trigger`` bounds a micro-batch, by the
+    number of files or by their size together; a larger file is a batch of its own."""
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("a micro-batch is bounded by files or by bytes, not by both")
     reader = spark.readStream.schema(S.MESSAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
 import pytest
@@ -121,6 +122,30 @@ def test_restart_loads_each_row_once(spark, listings, tmp_path):
     assert batches == [(0,), (1,)]
 
 
+def test_batches_of_a_bounded_size(spark, listings, tmp_path):
+    folder, output = tmp_path / "in", str(tmp_path / "out")
+    for share in (40, 400, 3, 200, 40, 2):
+        send(listings.filter(F.col("id") % share == 0), str(folder))
+    sizes = {path.name: path.stat().st_size for path in folder.glob("*.parquet")}
+    bound = max(sizes.values()) - 1
+    stream = messages.read_message_files(spark, str(folder), max_bytes_per_trigger=bound)
+    query = jobs.start_loading(stream, output, trigger=NOW)
+    query.awaitTermination()
+    per_batch = dict(rows(read_table(spark, output, "listings").groupBy("batch_id").count()))
+    assert sum(per_batch.values()) == spark.read.parquet(str(folder)).count()
+    # No batch but that of the one larger file holds more than the bound.
+    logged = [
+        [json.loads(line)["path"].rsplit("/", 1)[1] for line in log.read_text().splitlines()[1:]]
+        for log in (tmp_path / "out/_checkpoint/sources/0").iterdir()
+        if log.name.isdigit()
+    ]
+    assert sorted(name for names in logged for name in names) == sorted(sizes)
+    assert 1 < len(logged) < len(sizes)
+    assert all(sum(sizes[n] for n in names) <= bound or len(names) == 1 for names in logged)
+    with pytest.raises(ValueError, match="not by both"):
+        messages.read_message_files(spark, str(folder), max_files_per_trigger=1, max_bytes_per_trigger=1)
+
+
 def test_a_new_checkpoint_keeps_earlier_rows(spark, listings, tmp_path):
     output = str(tmp_path / "out")
     for number in range(2):
