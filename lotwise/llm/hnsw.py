@@ -30,12 +30,20 @@ BUILD_WIDTH = 64
 SEARCH_WIDTH = 64
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows as doubles, each divided by a power of two that brings its largest component
+    to between a half and 1. Cosines stay as they are and no square overflows."""
+    wide = vectors.astype(np.float64)
+    powers = np.frexp(np.abs(wide).max(axis=1))[1]
+    return np.ldexp(wide, -powers[:, None])
+
+
 class Graph:
     """``links[layer]`` has a row of neighbour numbers for each node, -1 where none."""
 
     def __init__(self, vectors: np.ndarray, ids: np.ndarray, starts: np.ndarray):
         self.vectors, self.ids, self.starts = vectors, ids, starts
-        wide = vectors.astype(np.float64)
+        wide = scaled(vectors)
         self.lengths = np.sqrt((wide * wide).sum(axis=1))
         self.units = (wide / self.lengths[:, None]).astype(np.float32)
         self.links: list[np.ndarray] = []
@@ -140,14 +148,14 @@ class Graph:
 
     def search(self, vector: np.ndarray, own: int, k: int, width: int) -> list[tuple[int, float]]:
         """(vec_id, cosine) of the k nearest rows found, without those of id ``own``."""
-        wide = vector.astype(np.float64)
+        wide = scaled(vector[None, :])[0]
         length = math.sqrt((wide * wide).sum())
         unit = (wide / length).astype(np.float32)
         near = [(self._far(unit, self.entry), self.entry)]
         for layer in range(len(self.links) - 1, 0, -1):
             near = self._layer(unit, near, 1, layer)
         nodes = np.array([n for _, n in self._layer(unit, near, max(width, k + 1), 0)])
-        dots = (self.vectors[nodes].astype(np.float64) * wide).sum(axis=1)
+        dots = (scaled(self.vectors[nodes]) * wide).sum(axis=1)
         scores = dots / (self.lengths[nodes] * length)
         rows = []
         for score, node in zip(scores.tolist(), nodes.tolist()):

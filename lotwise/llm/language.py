@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotwise.llm.shared import without
+
 PROFILE = 300
 UNKNOWN = "und"
 BORDER = 32
@@ -153,9 +155,10 @@ def identify(
     lang_into: str = "lang_pred",
     score_into: str = "score",
 ) -> DataFrame:
-    """Add the predicted language and its score; columns of these names are replaced."""
+    """Add the predicted language and its score; columns of these names are replaced, in
+    whatever case. Whole texts are read, very long ones too."""
     new = (lang_into, score_into)
-    kept = [name for name in documents.columns if name not in new]
+    kept = without(documents, *new)
     place = kept.index(text)
     held = documents.sparkSession.sparkContext.broadcast(profiles)
 

@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotwise.llm.shared import free_name, without
+
 OTHER = "\u0000other"
 TOLERANCE = 1e-10
 MAX_SWEEPS = 2000
@@ -160,32 +162,34 @@ def with_probability(
     *,
     tokens: str,
     keep_share: float = 1.0,
+    least_kept: float = LEAST_KEPT,
     factor_into: str = "weight",
     into: str = "probability",
 ) -> DataFrame:
     """Add each document's factor and its probability to be kept.
 
-    The probability is that of ``keep_chances`` times ``keep_share``, at most 1."""
+    The probability is that of ``keep_chances`` times ``keep_share``, at most 1. Input
+    columns of the two new names are replaced, in whatever case."""
     keys = cell_keys(targets)
     most = 1
     for shares in targets.values():
         most *= 1 + len(shares)
     if most > MAX_CELLS:
         raise ValueError(f"the targets make {most} cells, more than {MAX_CELLS}")
-    names = [f"_cell_{i}" for i in range(len(keys))]
+    names = [free_name(documents, f"cell_{i}") for i in range(len(keys))]
     counted = F.greatest(F.col(tokens), F.lit(1)).cast("long")
     celled = documents.withColumns(dict(zip(names, keys.values())))
     sums = celled.groupBy(*names).agg(F.sum(counted).alias("tokens")).collect()
     cells = [tuple(row) for row in sums]
     factors = fit(cells, targets) if cells else np.empty(0)
-    chance = keep_share * keep_chances(cells, targets) if cells else np.empty(0)
+    chance = keep_share * keep_chances(cells, targets, least_kept) if cells else np.empty(0)
     rows = [(*c[:-1], float(f), float(p)) for c, f, p in zip(cells, factors, chance)]
     schema = T.StructType(
         [T.StructField(name, T.StringType()) for name in names]
         + [T.StructField(factor_into, T.DoubleType()), T.StructField(into, T.DoubleType())]
     )
     table = documents.sparkSession.createDataFrame(rows, schema)
-    kept = celled.drop(factor_into, into)
+    kept = celled.select(*without(celled, factor_into, into))
     return kept.join(F.broadcast(table), names, "left").drop(*names)
 
 

@@ -125,6 +125,12 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def without(frame: DataFrame, *names: str) -> list[str]:
+    """The frame's columns but for those of the given names, in whatever case."""
+    gone = {name.lower() for name in names}
+    return [name for name in frame.columns if name.lower() not in gone]
+
+
 def free_name(frame: DataFrame, stem: str) -> str:
     """A column name the frame does not have."""
     taken = {name.lower() for name in frame.columns}

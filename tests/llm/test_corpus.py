@@ -355,3 +355,49 @@ def test_a_rare_value_does_not_shrink_the_sample():
     assert kept[2:].sum() == pytest.approx(999, rel=1e-4) and chance.max() == 1
     factors = raking.fit(cells[:4], fair)
     assert kept.sum() > 1.1 * (tokens[:4] * factors / factors.max()).sum()
+
+
+@pytest.mark.parametrize("words", [1, 2])
+def test_pieces_hold_every_bit_but_the_segments_once(spark, words):
+    every = spark.createDataFrame([([-1] * words, s << 32) for s in range(2 * words)], "simhash array<long>, entry long")
+    for row in every.select("entry", simhash.pieces(words, 2).alias("cut")).collect():
+        masks = [sum((part % 2**64) << 64 * w for w, part in enumerate(piece)) for piece in row.cut]
+        own = (2**32 - 1) << 32 * (row.entry >> 32)
+        assert sum(masks) == 2 ** (64 * words) - 1 - own
+        assert sum(m.bit_count() for m in masks) == 64 * words - 32
+
+
+def test_a_crowded_entry_with_strays_equals_all_pairs(spark):
+    draw = np.random.default_rng(5)
+    numbers = {(int(n) << 32) | 77 for n in draw.integers(0, 2**32, 150)}
+    numbers |= {n ^ (1 << int(b)) ^ (1 << int(c)) for n in list(numbers)[:60] for b, c in [draw.integers(0, 64, 2)]}
+    ordered = sorted(numbers)
+    signed = [(i, [n - (1 << 64) if n >> 63 else n]) for i, n in enumerate(ordered)]
+    nodes = spark.createDataFrame(signed, "id long, simhash array<long>")
+    found = dict(rows(simhash.link_nodes(nodes, words=1, max_bits=2), "node", "root"))
+    groups = plain_groups(dict(enumerate(ordered)), 2)
+    assert {i: found.get(i, i) for i in groups} == groups
+
+
+def test_cosines_of_huge_and_tiny_components(spark):
+    table = spark.createDataFrame(
+        [(50, [1e200, 0.0]), (1, [1e200, 1e200]), (2, [1e-200, 0.0]), (3, [-3.0, 0.0]), (4, [5e-324, 0.0])],
+        "vec_id long, embedding array<double>",
+    )
+    found = hnsw.nearest(table, F.col("vec_id") == 50, k=5).orderBy("rank").collect()
+    assert [r.vec_id for r in found] == [2, 4, 1, 3]
+    assert [r.score for r in found] == pytest.approx([1.0, 1.0, 0.5**0.5, -1.0])
+
+
+def test_columns_that_clash_whatever_their_case(spark):
+    docs = spark.createDataFrame(
+        [(1, "one two", "en", 7, "a", 0.5)],
+        "doc_id long, text string, lang string, cell_0 int, Lang_Pred string, SIMHASH double",
+    )
+    found = language.identify(docs, None)
+    assert found.columns == ["doc_id", "text", "lang", "cell_0", "SIMHASH", "lang_pred", "score"]
+    assert simhash.with_fingerprint(docs, shingle=3).columns == [
+        "doc_id", "lang", "cell_0", "Lang_Pred", "simhash"
+    ]
+    mixed = raking.with_probability(docs, {"lang": {"en": 1.0}}, tokens="doc_id")
+    assert mixed.first().cell_0 == 7 and mixed.columns[:6] == docs.columns
