@@ -33,31 +33,82 @@ def top_segments(summary: DataFrame, n: int = S.SUMMARY_TOP) -> DataFrame:
     return in_summary_order(summary).limit(n)
 
 
-def great_deals(scored: DataFrame) -> DataFrame:
-    """Great deals, and deep discounts that high mileage held back."""
-    return scored.filter(_is_great_deal()).select(
-        "id",
-        *S.SUMMARY_KEYS,
-        "price",
-        F.round("price_z_score", 2).alias("Price_Z_Score"),
-        F.round("odometer_z_score", 2).alias("Odometer_Z_Score"),
-        F.round("arbitrage_opportunity", 2).alias("Arbitrage_Value"),
-        "deal_rating",
-    )
+# What a list of single listings is: which listings belong to it, and its columns.
+RowList = tuple[Column, dict[str, Column]]
+
+
+def _listing() -> dict[str, Column]:
+    return {name: F.col(name) for name in ("id", *S.SUMMARY_KEYS, "price")}
 
 
-def _is_great_deal() -> Column:
+def _great_deals() -> RowList:
     """Both ratings need a deep discount here, so that cheap test comes first."""
     rating = F.col("deal_rating")
     rated = (rating == "GREAT_DEAL") | (rating == "GOOD_PRICE")
-    return (F.col("price_z_score") < S.DEEP_DISCOUNT_Z) & rated
+    return (F.col("price_z_score") < S.DEEP_DISCOUNT_Z) & rated, _listing() | {
+        "Price_Z_Score": F.round("price_z_score", 2),
+        "Odometer_Z_Score": F.round("odometer_z_score", 2),
+        "Arbitrage_Value": F.round("arbitrage_opportunity", 2),
+        "deal_rating": rating,
+    }
+
+
+def _risky_buys() -> RowList:
+    return F.col("deal_rating") == "RISKY_BUY", _listing() | {
+        "trust_score": F.col("trust_score"),
+        "Fraud_Flag": F.when(F.col("is_year_mismatch"), YEAR_MISMATCH_LABEL).otherwise(""),
+    }
+
+
+def _extreme_overprices() -> RowList:
+    return F.col("deal_rating") == "EXTREME_OVERPRICE", _listing() | {
+        "Price_Z_Score": F.round("price_z_score", 2),
+        "Avg_Price": F.col("market_avg_price"),
+    }
+
+
+# Lists of single listings. A listing has one rating, so it is in one of them at most.
+ROW_LISTS = {
+    "great_deals": _great_deals,
+    "risky_buys": _risky_buys,
+    "extreme_overprices": _extreme_overprices,
+}
+# The table that holds all of them, told apart by the column ``alert``.
+ROW_ALERTS = "row_alerts"
+
+
+def _listed(scored: DataFrame, name: str) -> DataFrame:
+    belongs, columns = ROW_LISTS[name]()
+    return scored.filter(belongs).select(*[c.alias(n) for n, c in columns.items()])
+
+
+def great_deals(scored: DataFrame) -> DataFrame:
+    """Great deals, and deep discounts that high mileage held back."""
+    return _listed(scored, "great_deals")
 
 
 def risky_buys(scored: DataFrame) -> DataFrame:
-    flag = F.when(F.col("is_year_mismatch"), YEAR_MISMATCH_LABEL).otherwise("")
-    return scored.filter(F.col("deal_rating") == "RISKY_BUY").select(
-        "id", *S.SUMMARY_KEYS, "price", "trust_score", flag.alias("Fraud_Flag")
-    )
+    return _listed(scored, "risky_buys")
+
+
+def row_alerts(scored: DataFrame) -> DataFrame:
+    """All lists of single listings in one pass: the list's name in ``alert``, and the
+    columns of every list, null where a list lacks one."""
+    lists = {name: parts() for name, parts in ROW_LISTS.items()}
+    alert = F.coalesce(*[F.when(belongs, F.lit(name)) for name, (belongs, _) in lists.items()])
+
+    def value(column: str) -> Column:
+        having = [(n, columns[column]) for n, (_, columns) in lists.items() if column in columns]
+        return F.coalesce(*[F.when(F.col("alert") == n, of) for n, of in having]).alias(column)
+
+    names = dict.fromkeys(name for _, columns in lists.values() for name in columns)
+    labelled = scored.withColumn("alert", alert).filter(F.col("alert").isNotNull())
+    return labelled.select("alert", *[value(name) for name in names])
+
+
+def row_list(alerts: DataFrame, name: str, *more: str) -> DataFrame:
+    """One list, and further columns, from the table of all."""
+    return alerts.filter(F.col("alert") == name).select(*ROW_LISTS[name]()[1], *more)
 
 
 def volatile_segments(scored: DataFrame) -> DataFrame:
@@ -76,13 +127,7 @@ def volatile_segments(scored: DataFrame) -> DataFrame:
 
 
 def extreme_overprices(scored: DataFrame) -> DataFrame:
-    return scored.filter(F.col("deal_rating") == "EXTREME_OVERPRICE").select(
-        "id",
-        *S.SUMMARY_KEYS,
-        "price",
-        F.round("price_z_score", 2).alias("Price_Z_Score"),
-        F.col("market_avg_price").alias("Avg_Price"),
-    )
+    return _listed(scored, "extreme_overprices")
 
 
 ALERTS = {
@@ -94,7 +139,8 @@ ALERTS = {
 
 
 def in_alert_order(alerts: DataFrame, name: str) -> DataFrame:
-    """Best deals, widest spreads and highest prices first; risky buys unsorted.
+    """Best deals, widest spreads and highest prices first; risky buys unsorted (by id
+    in the table of all lists, where the lists follow one another).
 
     Scores are rounded and repeat, so ties go by a unique column: the sort stays
     the same on every run and can cut a crowd of equal scores into ranges. A sort
@@ -102,7 +148,10 @@ def in_alert_order(alerts: DataFrame, name: str) -> DataFrame:
     are stored or cached. Unsorted alerts are rebalanced, as the few alerts of
     each scoring task would make as many small files.
     """
+    score = F.col("Price_Z_Score")
+    highest_first = F.when(F.col("alert") == "extreme_overprices", -score).otherwise(score)
     orders = {
+        ROW_ALERTS: [F.asc("alert"), highest_first, F.asc("id")],
         "great_deals": [F.asc("Price_Z_Score"), F.asc("id")],
         "volatile_segments": [F.desc("Std_Dev_Price"), *S.SEGMENT_KEYS],
         "extreme_overprices": [F.desc("Price_Z_Score"), F.asc("id")],
@@ -128,30 +177,34 @@ def cleaning_counts(listings: DataFrame) -> DataFrame:
     )
 
 
-def batch_metrics(
-    summary: DataFrame, scored: DataFrame, volatile: DataFrame | None = None
-) -> DataFrame:
+def batch_metrics(summary: DataFrame, scored: DataFrame) -> DataFrame:
     """Name and value of each count of one batch.
 
     Received rows and segments come from the summary, which already counts every
-    row; the alert counts come from one pass over the scored rows. Volatile segments
-    can be passed where they are kept already.
+    row; the alert counts come from one pass over the scored rows. A stream that
+    writes these tables anyway observes the same counts while it does.
     """
-    rating = F.col("deal_rating")
-    received = summary.agg(
-        F.coalesce(F.sum("listings_count"), F.lit(0)).alias("received_rows"),
-        F.count(F.lit(1)).alias("segments"),
-    )
-    alerts = scored.agg(
-        F.count_if(_is_great_deal()).alias("great_deals"),
-        F.count_if(rating == "RISKY_BUY").alias("risky_buys"),
-        F.count_if(rating == "EXTREME_OVERPRICE").alias("extreme_overprices"),
-    )
-    listed = volatile_segments(scored) if volatile is None else volatile
-    wide = listed.agg(F.count(F.lit(1)).alias("volatile_segments"))
+    alerts = row_alerts(scored).agg(*alert_counts())
+    wide = volatile_segments(scored).agg(*volatile_counts())
+    received = summary.agg(*received_counts())
     return _as_rows(received).union(_as_rows(alerts)).union(_as_rows(wide)).coalesce(1)
 
 
+def received_counts() -> list[Column]:
+    """Counts over a segment summary."""
+    rows = F.coalesce(F.sum("listings_count"), F.lit(0))
+    return [rows.alias("received_rows"), F.count(F.lit(1)).alias("segments")]
+
+
+def alert_counts() -> list[Column]:
+    """Counts over the table of all lists of listings."""
+    return [F.count_if(F.col("alert") == name).alias(name) for name in ROW_LISTS]
+
+
+def volatile_counts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("volatile_segments")]
+
+
 def _as_rows(counts: DataFrame) -> DataFrame:
     return counts.unpivot([], counts.columns, "metric", "value")
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
@@ -58,11 +58,12 @@ def with_segment_statistics(
     """Add the statistics of its segment to every listing.
 
     Runs one job at once: it writes the statistics to ``table_path`` (a new
-    folder in the shared working folder by default) and measures them.
+    folder in the shared working folder by default) and measures them on the way.
     """
-    statistics = stored(segment_statistics(listings, keys, odometer=odometer), table_path)
+    computed, size = segment_statistics(listings, keys, odometer=odometer), Observation()
+    statistics = stored(computed.observe(size, *_measures(computed, keys)), table_path)
+    size = size.get
     named = _own_names(statistics, keys)
-    size = _measure(statistics, keys)
     if size["bytes"] <= broadcast_limit:
         joined = listings.join(F.broadcast(named), _same_segment(keys), "left")
     else:
@@ -70,15 +71,14 @@ def with_segment_statistics(
     return joined.drop("segment_rows", *[_own(key) for key in keys])
 
 
-def _measure(statistics: DataFrame, keys: list[str]) -> dict[str, int]:
+def _measures(statistics: DataFrame, keys: list[str]) -> list[Column]:
     """Bytes of the statistics in memory, and the listings they stand for."""
     text = [F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) for key in keys]
     width = reduce(Column.__add__, text) + (8 * len(statistics.columns) + ROW_OVERHEAD_BYTES)
-    measured = statistics.agg(
+    return [
         F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
         F.coalesce(F.sum("segment_rows"), F.lit(0)).alias("rows"),
-    )
-    return measured.collect()[0].asDict()
+    ]
 
 
 def _sliced_join(

@@ -460,11 +460,9 @@ def _load(spark: SparkSession, folder: str, output: str, **reading) -> None:
 @query
 def str_score_alerts(spark, sf_dir):
     output = _run_scoring(spark, sf_dir)
-    lists = [
-        read_table(spark, output, name).drop("batch_id").withColumn("alert", F.lit(name))
-        for name in reports.ALERTS
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lists)
+    volatile = read_table(spark, output, "volatile_segments").withColumn("alert", F.lit("volatile_segments"))
+    listed = read_table(spark, output, reports.ROW_ALERTS)
+    return listed.unionByName(volatile, allowMissingColumns=True).drop("batch_id")
 
 
 @query
@@ -607,5 +605,5 @@ def str_idle_stop(spark, sf_dir):
     running = jobs.start_loading(
         stream, output, trigger={"processingTime": "1 second"}, clock=lambda: arrival
     )
-    jobs.await_idle(running, idle_seconds=3, poll_seconds=0.5)
+    jobs.await_idle(running, idle_seconds=3)
     return read_table(spark, output, "listings").select(*LISTING, "VIN")

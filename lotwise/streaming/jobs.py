@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from lotwise import schema as S
 from lotwise.operators import prepare, reports
@@ -71,12 +73,15 @@ def score_micro_batch(
 ) -> None:
     """The source is read once: the batch is kept while its passes run. What an
     executor loses of it is read again from the source. The summary is computed
-    once too; it tells whether the batch has rows at all."""
+    once too; it tells whether the batch has rows at all. All lists of listings are
+    one pass and one write; their counts, and that of the volatile segments, are
+    observed while they are written, behind their sorts, so that no row counts twice."""
     received = prepare.standardize(batch.select(*SCORED_COLUMNS, "event_time")).persist()
     summary = reports.segment_summary(received).persist()
     held = [received, summary]
     try:
-        if not summary.agg(F.sum("listings_count")).first()[0]:
+        counts = summary.agg(*reports.received_counts()).first().asDict()
+        if not counts["received_rows"]:
             return
         cleaned = clean_live(received)
         scored = score_live(cleaned, current_year=current_year, table_path=statistics_path)
@@ -84,10 +89,17 @@ def score_micro_batch(
         volatile = reports.volatile_segments(scored)
         held.append(volatile.persist())
         sink(reports.in_summary_order(summary), "segment_summary", batch_id)
-        for name, alerts in reports.ALERTS.items():
-            found = volatile if name == "volatile_segments" else alerts(scored)
-            sink(reports.in_alert_order(found, name), name, batch_id)
-        sink(reports.batch_metrics(summary, scored, volatile), "batch_metrics", batch_id)
+        for name, found, wanted in (
+            (reports.ROW_ALERTS, reports.row_alerts(scored), reports.alert_counts()),
+            ("volatile_segments", volatile, reports.volatile_counts()),
+        ):
+            seen = Observation()
+            sink(reports.in_alert_order(found, name).observe(seen, *wanted), name, batch_id)
+            counts |= seen.get
+        metrics = batch.sparkSession.createDataFrame(
+            list(counts.items()), "metric string, value long"
+        )
+        sink(metrics.coalesce(1), "batch_metrics", batch_id)
     finally:
         for frame in reversed(held):
             frame.unpersist()
@@ -172,25 +184,74 @@ def _start(
     checkpoint: str | None,
     trigger: dict | None,
 ) -> StreamingQuery:
-    return (
-        listings.writeStream.outputMode("append")
-        .foreachBatch(handle)
-        .option("checkpointLocation", checkpoint or f"{output}/_checkpoint")
-        .trigger(**(trigger or EVERY_TEN_SECONDS))
-        .start()
-    )
+    with _setting(listings.sparkSession, IDLE_REPORTS, "1s"):
+        return (
+            listings.writeStream.outputMode("append")
+            .foreachBatch(handle)
+            .option("checkpointLocation", checkpoint or f"{output}/_checkpoint")
+            .trigger(**(trigger or EVERY_TEN_SECONDS))
+            .start()
+        )
 
 
-def await_idle(query: StreamingQuery, idle_seconds: float = 60, poll_seconds: float = 1) -> None:
-    """Wait until a query ends, or stop it once it had nothing to read for a while."""
-    last_work = time.monotonic()
-    last_batch = None
-    while not query.awaitTermination(poll_seconds):
-        progress = query.lastProgress
-        worked = progress is not None and progress.numInputRows > 0
-        if query.status["isDataAvailable"] or (worked and progress.batchId != last_batch):
-            last_work = time.monotonic()
-            last_batch = progress.batchId if progress is not None else None
-        if time.monotonic() - last_work >= idle_seconds:
-            query.stop()
-            return
+# How often a query that finds nothing to read says so; read when a query starts.
+IDLE_REPORTS = "spark.sql.streaming.noDataProgressEventInterval"
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the length of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+class IdleWatch(StreamingQueryListener):
+    """Tells when a query has ended, or has had nothing to read for a while.
+
+    A query reports that it looked for input and found none; a batch that takes long
+    reports nothing, so it is never taken for idleness."""
+
+    def __init__(self, query: StreamingQuery, idle_seconds: float):
+        self.run, self.idle_seconds = str(query.runId), idle_seconds
+        self.last_work = time.monotonic()
+        self.over = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.runId) == self.run and event.progress.numInputRows > 0:
+            self.last_work = time.monotonic()
+
+    def onQueryIdle(self, event) -> None:
+        if str(event.runId) == self.run and time.monotonic() - self.last_work >= self.idle_seconds:
+            self.over.set()
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) == self.run:
+            self.over.set()
+
+
+def await_idle(query: StreamingQuery, idle_seconds: float = 60) -> None:
+    """Wait until a query ends, or stop it once it had nothing to read for a while.
+    Raises what the query failed with. Queries started here report idleness every
+    second; others as often as their session says (ten seconds by default)."""
+    streams = SparkSession.active().streams
+    watch = IdleWatch(query, idle_seconds)
+    streams.addListener(watch)
+    try:
+        # A query that ended before the watch began has nothing more to report.
+        if query.isActive:
+            watch.over.wait()
+    finally:
+        streams.removeListener(watch)
+    if query.isActive:
+        query.stop()
+    query.awaitTermination()

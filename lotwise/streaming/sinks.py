@@ -1,7 +1,8 @@
 """Where a micro-batch puts its tables.
 
 A sink is a function of a frame, a table name and a batch number. A batch that
-runs again after a failure has the number it had before.
+runs again after a failure has the number it had before. A sink runs every frame it
+gets to the end at least once, since a batch's counts are observed in its first run.
 """
 
 from __future__ import annotations
@@ -12,12 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise import schema as S
+from lotwise.operators import reports
 from lotwise.operators.commits import append_once
 from lotwise.operators.tables import append_table
 
 # Where Spark notes the streaming query that a thread works for.
 QUERY_ID = "sql.streaming.queryId"
 
+# Types of the table of alerts in a file sink.
+ALERT_TYPES = """id long, manufacturer string, model string, price int, Price_Z_Score double,
+    Odometer_Z_Score double, Arbitrage_Value double, deal_rating string, trust_score int,
+    Fraud_Flag string, Avg_Price double, run string, batch_id int, alert string"""
+
 Sink = Callable[[DataFrame, str, int], None]
 
 
@@ -30,11 +37,14 @@ def current_run(spark: SparkSession) -> str:
 def file_sink(root: str, format: str = "parquet", **options: str) -> Sink:
     """Each batch of each query owns one folder of each table and replaces it when
     it runs again, so every row is there once. Batch numbers begin anew with a new
-    checkpoint; the query's id keeps such batches apart."""
+    checkpoint; the query's id keeps such batches apart. The table of alerts has a
+    folder for each list below that."""
 
     def write(frame: DataFrame, table: str, batch_id: int) -> None:
         folder = f"{root}/{table}/run={current_run(frame.sparkSession)}/batch_id={batch_id}"
-        frame.write.format(format).options(**options).mode("overwrite").save(folder)
+        parts = ["alert"] if table == reports.ROW_ALERTS else []
+        writer = frame.write.format(format).options(**options).partitionBy(*parts)
+        writer.mode("overwrite").save(folder)
 
     return write
 
@@ -68,6 +78,12 @@ def console_sink(rows: int = S.SUMMARY_TOP) -> Sink:
     stream, to be used beside a sink that keeps everything."""
 
     def write(frame: DataFrame, table: str, batch_id: int) -> None:
+        if table == reports.ROW_ALERTS:
+            # In order, as a whole, before the lists: a batch's counts are observed here.
+            frame.count()
+            for name in reports.ROW_LISTS:
+                write(reports.row_list(frame, name), name, batch_id)
+            return
         total = frame.count()
         print(f"{table}, batch {batch_id}: {min(rows, total)} of {total} rows")
         frame.show(rows, truncate=False)
@@ -87,6 +103,13 @@ def all_of(*sinks: Sink) -> Sink:
 
 def read_table(spark: SparkSession, root: str, table: str, *, with_run: bool = False) -> DataFrame:
     """All batches of a table of a parquet file sink, with their ``batch_id`` and, if
-    asked for, the ``run`` they belong to."""
-    found = spark.read.parquet(f"{root}/{table}")
+    asked for, the ``run`` they belong to. Lists of listings are parts of one table and
+    are read from it by their names; of the others, no file is read then."""
+    if table == reports.ROW_ALERTS or table in reports.ROW_LISTS:
+        # A batch without alerts leaves no file to take the types from.
+        found = spark.read.schema(ALERT_TYPES).parquet(f"{root}/{reports.ROW_ALERTS}")
+        if table in reports.ROW_LISTS:
+            found = reports.row_list(found, table, "run", "batch_id")
+    else:
+        found = spark.read.parquet(f"{root}/{table}")
     return found if with_run else found.drop("run")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -213,7 +214,65 @@ def test_a_query_stops_once_idle(spark, listings, tmp_path):
     send(listings, folder)
     stream = messages.read_message_files(spark, folder)
     query = jobs.start_loading(stream, output, trigger={"processingTime": "1 second"})
-    jobs.await_idle(query, idle_seconds=3, poll_seconds=0.5)
+    jobs.await_idle(query, idle_seconds=3)
     assert not query.isActive
     assert query.exception() is None
     assert read_table(spark, output, "listings").count() == listings.count()
+
+
+def test_a_failed_query_raises_while_awaited(spark, listings, tmp_path):
+    folder = str(tmp_path / "in")
+    send(listings.limit(5), folder)
+
+    def failing(frame, table, batch_id):
+        raise RuntimeError("no room")
+
+    stream = messages.read_message_files(spark, folder)
+    query = jobs.start_loading(stream, str(tmp_path / "out"), sink=failing, trigger={"processingTime": "1 second"})
+    with pytest.raises(Exception, match="no room"):
+        jobs.await_idle(query, idle_seconds=60)
+
+
+def test_a_long_batch_is_not_idleness(spark, listings, tmp_path):
+    """The batch takes longer than the query may be idle; a second file comes meanwhile."""
+    folder, output = str(tmp_path / "in"), str(tmp_path / "out")
+    send(listings.filter("id % 2 = 0"), folder)
+    late = []
+
+    def slow(frame, table, batch_id):
+        file_sink(output)(frame, table, batch_id)
+        if not late:
+            late.append(batch_id)
+            send(listings.filter("id % 2 = 1"), folder)
+            time.sleep(5)
+
+    stream = messages.read_message_files(spark, folder)
+    query = jobs.start_loading(stream, output, sink=slow, trigger={"processingTime": "1 second"})
+    jobs.await_idle(query, idle_seconds=2)
+    assert read_table(spark, output, "listings").count() == listings.count()
+
+
+def test_a_batch_is_scored_in_few_jobs(spark, listings, tmp_path):
+    output = str(tmp_path / "out")
+    batch = listings.withColumnRenamed("vin", "VIN").cache()
+    batch.count()
+    spark.sparkContext.setJobGroup("few-jobs", "one micro-batch")
+    try:
+        jobs.score_micro_batch(batch, 0, file_sink(output), statistics_path=f"{output}/_statistics")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-jobs")) <= 23
+    batch.unpersist()
+
+
+def test_lists_of_one_table_equal_lists_of_their_own(spark, listings, tmp_path):
+    output = str(tmp_path / "out")
+    scored = score_live(clean_live(listings.withColumnRenamed("vin", "VIN")))
+    together = reports.row_alerts(scored)
+    for name in reports.ROW_LISTS:
+        alone = reports.ALERTS[name](scored)
+        assert same_rows(reports.row_list(together, name), alone), name
+    file_sink(output)(together.filter("false"), reports.ROW_ALERTS, 0)
+    for name in reports.ROW_LISTS:
+        empty = read_table(spark, output, name)
+        assert empty.isEmpty() and empty.drop("batch_id").schema.names == reports.ALERTS[name](scored).schema.names
