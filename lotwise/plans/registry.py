@@ -114,7 +114,8 @@ def src_csv_breaks(spark, sf_dir):
     path = new_folder(spark, "csv")
     listings = standin_listings(spark, sf_dir)
     line = F.concat_ws("\n", "region", F.concat(F.lit('"'), "model", F.lit('", sold')), F.lit(""))
-    files.write_listings_csv(listings.withColumn("description", line).coalesce(1), path)
+    # A shuffle: coalesce(1) would also join all tables in the one task that writes.
+    files.write_listings_csv(listings.withColumn("description", line).repartition(1), path)
     return files.read_listings_csv(spark, path).select("id", "price", "description", "state")
 
 
