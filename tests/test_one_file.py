@@ -41,3 +41,12 @@ def test_one_csv_file_is_written_from_many_tasks(spark, folders):
     assert sorted(i for i, _ in found) == sorted([*range(200)] * 2)
     assert all(text.split("\n")[1:] == [f'"m{i % 3}", sold', ""] for i, text in found)
     assert len({text.split("\n")[0] for _, text in found}) == PARTS
+
+
+def test_three_message_files_are_written_from_many_tasks(spark, folders):
+    found = rows(registry.str_empty_batch(spark, ""), "id", "region", "model")
+    assert len(list((folders / "messages").glob("*.parquet"))) == 3
+    assert len(list((folders / "loaded/listings").glob("run=*/batch_id=*"))) == 2
+    assert sorted((i, m) for i, _, m in found) == sorted([(i, f"m{i % 3}") for i in range(200)] * 2)
+    for early in (0, 1):
+        assert len({task for i, task, _ in found if i % 2 == early}) == PARTS
