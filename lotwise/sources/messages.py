@@ -160,5 +160,11 @@ def read_message_files(
     return reader.parquet(path)
 
 
+# A row group is what one task reads at the least. In one of Spark's usual size lie
+# some million messages, which one task would decode while the others wait: a file is
+# cut into more.
+ROW_GROUP_BYTES = 2 << 20
+
+
 def write_message_files(messages: DataFrame, path: str, mode: str = "append") -> None:
-    messages.write.mode(mode).parquet(path)
+    messages.write.mode(mode).option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)

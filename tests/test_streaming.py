@@ -147,6 +147,22 @@ def test_batches_of_a_bounded_size(spark, listings, tmp_path):
         messages.read_message_files(spark, str(folder), max_files_per_trigger=1, max_bytes_per_trigger=1)
 
 
+def test_one_file_is_loaded_by_several_tasks(spark, settings, tmp_path):
+    """A file of some megabytes, one micro-batch: each task that got rows wrote a file."""
+    folder, output = tmp_path / "in", tmp_path / "out"
+    made = spark.range(0, 60_000, 1, 4).selectExpr(
+        "id", "sha2(cast(id as string), 512) as description", "timestamp '2024-05-01 00:00:00' as event_time"
+    )
+    send(made, str(folder))
+    assert len(list(folder.glob("*.parquet"))) == 1
+    settings(spark__sql__files__maxPartitionBytes=str(1 << 20))
+    load(spark, str(folder), str(output))
+    found = read_table(spark, str(output), "listings")
+    assert same_rows(found.select("id", "description"), made.select("id", "description"))
+    assert rows(found.select("batch_id").distinct()) == [(0,)]
+    assert found.select(F.input_file_name()).distinct().count() >= 3
+
+
 def test_a_new_checkpoint_keeps_earlier_rows(spark, listings, tmp_path):
     output = str(tmp_path / "out")
     for number in range(2):
